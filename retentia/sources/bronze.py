@@ -33,6 +33,7 @@ BRONZE_DEVOLUCIONES_SCHEMA = T.StructType([
 def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     # FAILFAST: a malformed file stops the load instead of silently turning values into NULLs.
     return (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .option("encoding", "UTF-8").csv(path))
 
 
@@ -50,7 +51,9 @@ def read_bronze_devoluciones(spark: SparkSession, path: str) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV sink with a header row (the generator's output format)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    # Leading/trailing blanks are data here (the silver layer trims them), so the writer must keep them.
+    (df.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def save_table(df: DataFrame, name: str | None = None, path: str | None = None,
