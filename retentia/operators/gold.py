@@ -97,15 +97,20 @@ def _return_month_rows(devoluciones: DataFrame) -> DataFrame:
 
 
 def gold_features(transacciones: DataFrame, devoluciones: DataFrame,
-                  sentinel_date: str = REFERENCE_SENTINEL) -> DataFrame:
+                  sentinel_date: str = REFERENCE_SENTINEL, num_partitions: int | None = None) -> DataFrame:
     """The 23-column client x month panel (G6-G20 assembled).
 
     ``sentinel_date`` replaces the last purchase date when a client has none before the month (the reference uses
     2020-01-01; pass a date earlier than the data, see SURVEY D5). Output is not globally sorted; use
     ``save_table(..., sort_within=[...])`` when writing.
     """
-    pm = _purchase_month_rows(transacciones)
-    rm = _return_month_rows(devoluciones)
+    # The monthly rows are small (at most one per client and month) and are hash-partitioned by client with a fixed
+    # partition count. The distinct clients are aggregated on that same partitioning (the exchange is reused), the
+    # spine inherits it through the broadcast cross join, and the union of the three keeps it, so the window needs no
+    # further exchange and the spine rows (clients x months, the size of the output) are never shuffled.
+    parts = num_partitions or int(transacciones.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pm = _purchase_month_rows(transacciones).repartition(parts, "cliente_id")
+    rm = _return_month_rows(devoluciones).repartition(parts, "cliente_id")
     months = pm.select("mi").distinct()
     clients = pm.select("cliente_id").distinct()
     spine = clients.crossJoin(F.broadcast(months)).withColumn("is_spine", F.lit(True))
