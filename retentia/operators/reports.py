@@ -275,3 +275,20 @@ def inactivity_alert(gold: DataFrame) -> DataFrame:
             .withColumn("alerta", band).where(F.col("alerta").isNotNull())
             .select("cliente_id", "fecha_referencia", "alerta", "dias_desde_ultima_compra", "num_compras_6m",
                     "valor_compras_6m", "engagement_score"))
+
+
+def feature_profile_importance(training: DataFrame, features: list[str]) -> DataFrame:
+    """A data-derived, model-free importance table with the layout of ``models.feature_importance``:
+    weight = rows where the feature is non-zero, gain = mean value, cover = mean absolute value.
+
+    One distributed aggregate (one output row), unpivoted to one row per feature with ``stack``.
+    """
+    aggs = []
+    for i, f in enumerate(features):
+        x = F.col(f).cast("double")
+        aggs += [F.count(F.when(x != 0, 1)).cast("double").alias(f"w{i}"), F.avg(x).alias(f"g{i}"),
+                 F.avg(F.abs(x)).alias(f"c{i}")]
+    wide = training.agg(*aggs)
+    pairs = ", ".join(f"'{f}', w{i}, g{i}, c{i}" for i, f in enumerate(features))
+    return wide.selectExpr(f"stack({len(features)}, {pairs}) AS (feature, importance_weight, importance_gain, "
+                           f"importance_cover)")
