@@ -17,6 +17,7 @@ value can still be split across range partitions.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,10 +35,13 @@ def global_row_number(df: DataFrame, keys: list[tuple[str, bool]], out: str = "r
     ensure_checkpoint_dir(spark)
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _order_cols(keys)
-    ranged = (df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    staged = (df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__pos", F.monotonically_increasing_id() - F.shiftleft(F.col("__pid").cast("long"), 33))
-              .checkpoint(eager=True))
+              .persist(StorageLevel.DISK_ONLY))
+    # persisted first so the checkpoint write reads the computed partitions instead of recomputing them
+    ranged = staged.checkpoint(eager=True)
+    staged.unpersist()
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         "__pid",

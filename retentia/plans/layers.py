@@ -1,17 +1,24 @@
-"""Lazy wiring of the medallion layers (bronze -> silver -> gold) over one input.
+"""Wiring of the medallion layers (bronze -> silver -> gold) over one input.
 
-``Layers`` only composes DataFrames; nothing runs until an action. Each property is built once per object, so the
-plans of downstream reports share the same logical subtrees (and Spark's exchange reuse applies within a query).
+Each property is built once per object. With ``materialize`` (the default) the silver tables and the gold panel are
+written as Parquet under ``spark.checkpoint.dir`` when first used and read back, like the stored tables of the
+production pipeline: the lineage is cut (a lost executor recomputes from the files, not from the raw tables), a report
+that reads gold twice (e.g. a month bound as a scalar subquery plus the rows) does not rebuild the panel, and later
+plans get column pruning and filter pushdown on the files. (``Dataset.checkpoint`` would compute each table twice,
+once for the action and once for the checkpoint write.)
 """
 
 from __future__ import annotations
 
+import os
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from retentia.operators import gold as G
 from retentia.operators import silver as S
+from retentia.session import ensure_checkpoint_dir
 from retentia.sources import testdata as TD
 
 # Fixed processing timestamp for reproducible silver tables in checks (CURRENT_TIMESTAMP in the reference).
@@ -21,8 +28,9 @@ CHECK_PROCESSED_AT = "2001-09-01 00:00:00"
 class Layers:
     def __init__(self, spark: SparkSession, bronze: tuple[DataFrame, DataFrame, DataFrame],
                  as_of: str | None = TD.TESTDATA_AS_OF, sentinel: str = TD.TESTDATA_SENTINEL,
-                 processed_at: str | None = CHECK_PROCESSED_AT):
+                 processed_at: str | None = CHECK_PROCESSED_AT, materialize: bool = True):
         self.spark = spark
+        self.materialize = materialize
         self.bronze_clientes, self.bronze_transacciones, self.bronze_devoluciones = bronze
         self.as_of = as_of
         self.sentinel = sentinel
@@ -32,19 +40,29 @@ class Layers:
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Layers":
         return cls(spark, TD.bronze_tables(spark, sf_dir), **kw)
 
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        if not self.materialize:
+            return df
+        path = os.path.join(ensure_checkpoint_dir(self.spark), f"layer-{name}-{uuid.uuid4().hex}")
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def silver_clientes(self) -> DataFrame:
-        return S.silver_clientes(self.bronze_clientes, as_of=self.as_of, processed_at=self.processed_at)
+        return self._keep(S.silver_clientes(self.bronze_clientes, as_of=self.as_of, processed_at=self.processed_at),
+                          "silver_clientes")
 
     @cached_property
     def silver_transacciones(self) -> DataFrame:
-        return S.silver_transacciones(self.bronze_transacciones, self.silver_clientes, processed_at=self.processed_at)
+        return self._keep(S.silver_transacciones(self.bronze_transacciones, self.silver_clientes,
+                                                 processed_at=self.processed_at), "silver_transacciones")
 
     @cached_property
     def silver_devoluciones(self) -> DataFrame:
-        return S.silver_devoluciones(self.bronze_devoluciones, self.silver_transacciones,
-                                     processed_at=self.processed_at)
+        return self._keep(S.silver_devoluciones(self.bronze_devoluciones, self.silver_transacciones,
+                                                processed_at=self.processed_at), "silver_devoluciones")
 
     @cached_property
     def gold(self) -> DataFrame:
-        return G.gold_features(self.silver_transacciones, self.silver_devoluciones, sentinel_date=self.sentinel)
+        return self._keep(G.gold_features(self.silver_transacciones, self.silver_devoluciones,
+                                          sentinel_date=self.sentinel), "gold")

@@ -8,7 +8,9 @@ def _plan(df):
 
 
 def test_gold_window_has_no_exchange_above_union(small_layers):
-    text = small_layers.gold._jdf.queryExecution().sparkPlan().toString()
+    from retentia.operators.gold import gold_features
+    gold = gold_features(small_layers.silver_transacciones, small_layers.silver_devoluciones, "1990-01-01")
+    text = gold._jdf.queryExecution().executedPlan().toString()
     lines = text.splitlines()
     w = next(i for i, line in enumerate(lines) if "Window" in line)
     u = next(i for i, line in enumerate(lines) if re.search(r"\bUnion\b", line))
