@@ -64,14 +64,16 @@ def main() -> None:
                      ("gold_summary", lambda: G.gold_summary(gold))]:
         timed(name, lambda fn=fn: fn().collect())
 
-    # 3. the same gold panel as one lazy plan straight from the raw test tables
+    # 3. the same gold panel through the query catalogue (raw test tables -> layers stored in the checkpoint folder)
     timed("gold_features_end_to_end",
           lambda: QUERIES["gold_features"](spark, sf_dir).write.format("noop").mode("overwrite").save())
 
+    # headline value: the stored pipeline (all layers + both models) plus the analysis queries over stored gold;
+    # per-stage times and the lazy end-to-end gold query are reported alongside, not added again.
     total = round(sum(v for k, v in timings.items() if k not in {
         "bronze_transacciones", "silver_transacciones", "silver_devoluciones",
         "gold_caracterizacion_mensual_clientes", "fit_churn_model", "predicciones_churn", "fit_segments",
-        "clientes_segmentados"}), 3)
+        "clientes_segmentados", "gold_features_end_to_end"}), 3)
     print(json.dumps({"metric": "pipeline_plus_queries_seconds", "value": total, "unit": "sec",
                       "queries": timings, "sf": sf, "cpus": cpus}))
     spark.stop()
