@@ -12,18 +12,30 @@ from retentia.operators.ntile import global_ntile
 
 
 def churn_by_profile(gold: DataFrame, clientes: DataFrame) -> DataFrame:
-    """A1. Gold joined to the client profile; all months but the last."""
-    g = before_latest(gold)
+    """A1. Gold joined to the client profile; all months but the last.
+
+    The panel is first reduced to one row per client (counts and sums, with map-side combine), so the join with the
+    client table moves one row per client instead of one per client and month; the profile averages are then
+    recombined as sums over counts, which is the same average.
+    """
+    per_client = before_latest(gold).groupBy("cliente_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("fuga_combinada_1m").alias("s_fuga"),
+        F.sum("dias_desde_ultima_compra").alias("s_dias"),
+        F.sum("num_compras_6m").alias("s_n6"),
+        F.sum("valor_compras_6m").alias("s_v6"),
+        F.sum("engagement_score").alias("s_eng"))
     c = clientes.select("cliente_id", "perfil")
-    return (g.join(c, "cliente_id")
+    n = F.sum("n").cast("double")
+    return (per_client.join(c, "cliente_id")
             .groupBy("perfil")
-            .agg(F.count(F.lit(1)).alias("total_registros"),
-                 F.sum("fuga_combinada_1m").cast("long").alias("casos_churn"),
-                 r(F.avg("fuga_combinada_1m") * 100, 2).alias("tasa_churn_pct"),
-                 r(F.avg("dias_desde_ultima_compra"), 1).alias("dias_ultima_compra_avg"),
-                 r(F.avg("num_compras_6m"), 2).alias("compras_6m_avg"),
-                 r(F.avg("valor_compras_6m"), 2).alias("valor_6m_avg"),
-                 r(F.avg("engagement_score"), 2).alias("engagement_avg"))
+            .agg(F.sum("n").alias("total_registros"),
+                 F.sum("s_fuga").cast("long").alias("casos_churn"),
+                 r(F.sum("s_fuga") / n * 100, 2).alias("tasa_churn_pct"),
+                 r(F.sum("s_dias") / n, 1).alias("dias_ultima_compra_avg"),
+                 r(F.sum("s_n6") / n, 2).alias("compras_6m_avg"),
+                 r(F.sum("s_v6") / n, 2).alias("valor_6m_avg"),
+                 r(F.sum("s_eng") / n, 2).alias("engagement_avg"))
             .orderBy(F.desc("tasa_churn_pct"), "perfil"))
 
 
