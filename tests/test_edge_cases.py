@@ -152,3 +152,18 @@ def test_training_drops_sentinel_rows(spark):
     rows = FT.training_set(gold).collect()
     assert [r.fecha_referencia for r in rows] == [D("2001-02-01")]
     assert G.GOLD_COLUMNS == gold.columns
+
+
+def test_hot_client_is_reduced_before_the_window(spark):
+    """One client with a third of all purchases: results stay exact and the window sees one row per month."""
+    hot = [purchase(f"H{i}", "C1", f"2001-0{1 + i % 3}-{1 + i % 28:02d}", amount=float(1 + i % 7)) for i in range(3000)]
+    cold = [purchase(f"X{i}", f"K{i}", f"2001-0{1 + i % 3}-15", amount=5.0) for i in range(6000)]
+    c, t, d = frames(spark, [client("C1")] + [client(f"K{i}") for i in range(6000)], hot + cold, [])
+    L = Layers(spark, (c, t, d), sentinel="1990-01-01")
+    from retentia.operators.gold import _purchase_month_rows
+    per_month = _purchase_month_rows(L.silver_transacciones).where(F.col("cliente_id") == "C1").count()
+    assert per_month == 3
+    g = {r.fecha_referencia: r for r in L.gold.where(F.col("cliente_id") == "C1").collect()}
+    assert g[D("2001-03-01")].num_compras_3m == 2000
+    assert g[D("2001-03-01")].valor_compras_3m == float(sum(1 + i % 7 for i in range(3000) if i % 3 != 2))
+    assert L.gold.count() == 6001 * 3
