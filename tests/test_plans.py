@@ -54,3 +54,9 @@ def test_hot_client_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_rfm_scores_use_no_global_ntile_window(small_layers):
+    from retentia.operators.analysis import rfm_scores
+    text = rfm_scores(small_layers.gold)._jdf.queryExecution().executedPlan().toString()
+    assert "ntile(" not in text
