@@ -18,7 +18,9 @@ def round_half_up(c: Column | str, places: int) -> Column:
     bit (different summation order) still round the same way; plain ``round`` on a double would round 1.005 by its
     binary value.
     """
-    return F.round(_c(c).cast(T.DecimalType(38, 10)), places).cast("double")
+    x = _c(c)
+    # NaN, infinities and magnitudes beyond DECIMAL(38,10) are passed through unchanged instead of failing the job
+    return F.coalesce(F.round(x.try_cast(T.DecimalType(38, 10)), places).cast("double"), x)
 
 
 def safe_div(num: Column | str, den: Column | str) -> Column:
