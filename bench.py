@@ -46,11 +46,7 @@ def main() -> None:
 
     # 1. the stored pipeline: bronze -> silver -> gold -> churn model -> segments
     res = timed("pipeline_total", lambda: P.run_testdata(spark, sf_dir, os.path.join(root, "lake")))
-    for k in ["bronze_transacciones", "silver_transacciones", "silver_devoluciones",
-              "gold_caracterizacion_mensual_clientes", "fit_churn_model", "predicciones_churn", "fit_segments",
-              "clientes_segmentados"]:
-        if k in res.seconds:
-            timings[k] = round(res.seconds[k], 3)
+    stages = {f"stage.{k}": round(v, 3) for k, v in res.seconds.items()}
 
     # 2. analysis queries over the stored gold table
     gold = res.read(spark, "gold_caracterizacion_mensual_clientes")
@@ -70,12 +66,9 @@ def main() -> None:
 
     # headline value: the stored pipeline (all layers + both models) plus the analysis queries over stored gold;
     # per-stage times and the lazy end-to-end gold query are reported alongside, not added again.
-    total = round(sum(v for k, v in timings.items() if k not in {
-        "bronze_transacciones", "silver_transacciones", "silver_devoluciones",
-        "gold_caracterizacion_mensual_clientes", "fit_churn_model", "predicciones_churn", "fit_segments",
-        "clientes_segmentados", "gold_features_end_to_end"}), 3)
+    total = round(sum(v for k, v in timings.items() if k != "gold_features_end_to_end"), 3)
     print(json.dumps({"metric": "pipeline_plus_queries_seconds", "value": total, "unit": "sec",
-                      "queries": timings, "sf": sf, "cpus": cpus}))
+                      "queries": {**timings, **stages}, "sf": sf, "cpus": cpus}))
     spark.stop()
 
 

@@ -58,6 +58,14 @@ class Pipeline:
         self.result.paths[name] = path
         return self.spark.read.parquet(path)
 
+    def _save_model(self, model, model_id: str) -> str:
+        path = os.path.join(self.result.root, "models", model_id)
+        t0 = time.time()
+        MD.save_model(model, path)
+        self.result.seconds["save_" + model_id] = time.time() - t0
+        self.result.paths["model_" + model_id] = path
+        return path
+
     def bronze(self, clientes: DataFrame, transacciones: DataFrame, devoluciones: DataFrame):
         return (self._write("bronze_clientes", clientes), self._write("bronze_transacciones", transacciones),
                 self._write("bronze_devoluciones", devoluciones))
@@ -79,10 +87,10 @@ class Pipeline:
         t0 = time.time()
         model = MD.fit_churn_model(training)
         self.result.seconds["fit_churn_model"] = time.time() - t0
-        model_path = os.path.join(self.result.root, "models", model_id)
-        MD.save_model(model, model_path)
-        self.result.paths["model_" + model_id] = model_path
-        evaluation = RP.evaluate(MD.evaluation_predictions(model, training))
+        model_path = self._save_model(model, model_id)
+        # the held-out predictions are stored once; the metrics read them instead of re-scoring in every branch
+        held_out = self._write("predicciones_evaluacion", MD.evaluation_predictions(model, training))
+        evaluation = RP.evaluate(held_out)
         self._write("metricas_modelo_churn", RP.metrics_record(evaluation, model_id), mode="append")
         self._write("model_registry",
                     MD.registry_entry(training, model_id, "BOOSTED_TREE_CLASSIFIER", model_path, FT.CHURN_FEATURES,
@@ -96,9 +104,7 @@ class Pipeline:
         t0 = time.time()
         model = MD.fit_segments(data)
         self.result.seconds["fit_segments"] = time.time() - t0
-        model_path = os.path.join(self.result.root, "models", model_id)
-        MD.save_model(model, model_path)
-        self.result.paths["model_" + model_id] = model_path
+        model_path = self._save_model(model, model_id)
         segmented = self._write("clientes_segmentados", MD.assign_segments(model, data))
         return model, segmented
 
