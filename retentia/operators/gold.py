@@ -105,9 +105,9 @@ def gold_features(transacciones: DataFrame, devoluciones: DataFrame,
     ``save_table(..., sort_within=[...])`` when writing.
     """
     # The monthly rows are small (at most one per client and month) and are hash-partitioned by client with a fixed
-    # partition count. The distinct clients are aggregated on that same partitioning (the exchange is reused), the
-    # spine inherits it through the broadcast cross join, and the union of the three keeps it, so the window needs no
-    # further exchange and the spine rows (clients x months, the size of the output) are never shuffled.
+    # partition count. The distinct clients are aggregated on that same client partitioning, the spine inherits it
+    # through the broadcast cross join, and the union of the three keeps it, so the window needs no further exchange
+    # and the spine rows (clients x months, the size of the output) are never shuffled.
     parts = num_partitions or int(transacciones.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pm = _purchase_month_rows(transacciones).repartition(parts, "cliente_id")
     rm = _return_month_rows(devoluciones).repartition(parts, "cliente_id")
