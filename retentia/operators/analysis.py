@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retentia.functions.labels import month_name, rfm_label
+from retentia.functions.numeric import money_avg
 from retentia.functions.numeric import round_half_up as r
 from retentia.operators.gold import before_latest, previous_month
 from retentia.operators.ntile import global_ntile
@@ -23,7 +24,7 @@ def churn_by_profile(gold: DataFrame, clientes: DataFrame) -> DataFrame:
         F.sum("fuga_combinada_1m").alias("s_fuga"),
         F.sum("dias_desde_ultima_compra").alias("s_dias"),
         F.sum("num_compras_6m").alias("s_n6"),
-        F.sum("valor_compras_6m").alias("s_v6"),
+        F.sum(F.col("valor_compras_6m").cast("decimal(18,2)")).alias("s_v6"),
         F.sum("engagement_score").alias("s_eng"))
     c = clientes.select("cliente_id", "perfil")
     n = F.sum("n").cast("double")
@@ -34,7 +35,7 @@ def churn_by_profile(gold: DataFrame, clientes: DataFrame) -> DataFrame:
                  r(F.sum("s_fuga") / n * 100, 2).alias("tasa_churn_pct"),
                  r(F.sum("s_dias") / n, 1).alias("dias_ultima_compra_avg"),
                  r(F.sum("s_n6") / n, 2).alias("compras_6m_avg"),
-                 r(F.sum("s_v6") / n, 2).alias("valor_6m_avg"),
+                 r(F.sum("s_v6").cast("double") / n, 2).alias("valor_6m_avg"),
                  r(F.sum("s_eng") / n, 2).alias("engagement_avg"))
             .orderBy(F.desc("tasa_churn_pct"), "perfil"))
 
@@ -46,7 +47,7 @@ def churn_over_time(gold: DataFrame) -> DataFrame:
             .agg(F.countDistinct("cliente_id").alias("clientes_activos"),
                  F.sum("fuga_combinada_1m").cast("long").alias("casos_churn"),
                  r(F.avg("fuga_combinada_1m") * 100, 2).alias("tasa_churn_pct"),
-                 r(F.avg("valor_compras_6m"), 2).alias("valor_promedio_6m"),
+                 r(money_avg("valor_compras_6m"), 2).alias("valor_promedio_6m"),
                  r(F.avg("engagement_score"), 2).alias("engagement_promedio"))
             .orderBy("fecha_referencia"))
 
@@ -84,9 +85,9 @@ def churn_vs_retained(gold: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("num_casos"),
                  r(F.avg("dias_desde_ultima_compra"), 1).alias("dias_ultima_compra"),
                  r(F.avg("num_compras_6m"), 2).alias("compras_6m"),
-                 r(F.avg("valor_compras_6m"), 2).alias("valor_6m"),
+                 r(money_avg("valor_compras_6m"), 2).alias("valor_6m"),
                  r(F.avg("engagement_score"), 2).alias("engagement"),
-                 r(F.avg("tendencia_valor_6m"), 2).alias("tendencia_valor"),
+                 r(money_avg("tendencia_valor_6m"), 2).alias("tendencia_valor"),
                  r(F.avg("coef_variacion_valor_6m"), 2).alias("coef_variacion"),
                  r(F.avg("ratio_actividad_reciente"), 2).alias("ratio_actividad"),
                  r(F.avg("tasa_devolucion_mes") * 100, 2).alias("tasa_devolucion_pct"))
@@ -101,7 +102,7 @@ def seasonality(gold: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("total_registros"),
                  r(F.avg("fuga_combinada_1m") * 100, 2).alias("tasa_churn_pct"),
                  r(F.avg("num_compras_6m"), 2).alias("compras_6m_avg"),
-                 r(F.avg("valor_compras_6m"), 2).alias("valor_6m_avg"))
+                 r(money_avg("valor_compras_6m"), 2).alias("valor_6m_avg"))
             .orderBy("trimestre", "mes_del_anio"))
 
 

@@ -196,6 +196,7 @@ def gold_features(transacciones: DataFrame, devoluciones: DataFrame,
 
 def gold_summary(gold: DataFrame) -> DataFrame:
     """G22."""
+    from retentia.functions.numeric import money_avg
     from retentia.functions.numeric import round_half_up as r
     return gold.agg(
         F.lit("RESUMEN GOLD LAYER").alias("seccion"),
@@ -204,7 +205,7 @@ def gold_summary(gold: DataFrame) -> DataFrame:
         F.countDistinct("fecha_referencia").alias("meses_unicos"),
         r(F.avg("dias_desde_ultima_compra"), 1).alias("avg_dias_ultima_compra"),
         r(F.avg("num_compras_6m"), 2).alias("avg_compras_6m"),
-        r(F.avg("valor_compras_6m"), 2).alias("avg_valor_6m"),
+        r(money_avg("valor_compras_6m"), 2).alias("avg_valor_6m"),
         r(F.avg("engagement_score"), 2).alias("avg_engagement"),
         F.sum("fuga_combinada_1m").cast("long").alias("casos_churn"),
         r(F.avg("fuga_combinada_1m") * 100, 2).alias("tasa_churn_pct"))

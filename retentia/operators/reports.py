@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retentia.functions import labels as LB
-from retentia.functions.numeric import money_sum, pct, round_half_up as r
+from retentia.functions.numeric import money_avg, money_sum, pct, round_half_up as r
 from retentia.operators.common import bool_count, share_of_total
 from retentia.operators.gold import previous_month
 
@@ -198,7 +198,7 @@ def profile_segments(s: DataFrame) -> DataFrame:
     g = s.groupBy("cluster_id").agg(
         F.count(F.lit(1)).alias("num_clientes"),
         F.avg("dias_desde_ultima_compra").alias("__d"), F.avg("num_compras_6m").alias("__n"),
-        F.avg("valor_compras_6m").alias("__v"), F.avg("engagement_score").alias("__e"))
+        money_avg("valor_compras_6m").alias("__v"), F.avg("engagement_score").alias("__e"))
     g = share_of_total(g, "num_clientes", "porcentaje")
     name = (F.when(F.rank().over(Window.orderBy(F.desc("__e"))) == 1, LB.SEGMENT_TOP_ENGAGEMENT)
             .when(F.rank().over(Window.orderBy(F.desc("__d"))) == 1, LB.SEGMENT_TOP_RECENCY_DAYS)
