@@ -55,14 +55,17 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory; set a local one only if none is configured."""
+    """Return the session's checkpoint directory; set a local one only if none is configured and the master is local.
+
+    On a cluster a folder on the driver's own disk would not be seen by the executors, so a missing setting is an error.
+    """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached when nothing is configured (local runs and tests). On a cluster the shared folder is
-        # given by spark.checkpoint.dir and used as is.
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="retentia-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
