@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
 import string
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -45,9 +48,8 @@ def gapless_rank(df: DataFrame, group: Sequence[str], order: Sequence[str], out:
     """Number the rows of each group 0, 1, ... without sorting a whole group in one task.
 
     Rows are dealt to ``salts`` parts of their group by a hash of the order columns; each part is numbered on its
-    own and shifted by the rows in the parts before it. The table of shifts has at most groups x salts rows, so it is
-    broadcast; use this only where the number of groups is bounded. Rows equal in all order columns are numbered in
-    any order. ``df`` is read twice.
+    own and shifted by the rows in the parts before it. The table of shifts has at most groups x salts rows. Rows equal in
+    all order columns are numbered in any order. ``df`` is read twice.
     """
     part = F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int")
     dealt = df.withColumn("__part", part)
@@ -56,7 +58,7 @@ def gapless_rank(df: DataFrame, group: Sequence[str], order: Sequence[str], out:
               .withColumn("__shift", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n"))
     within = Window.partitionBy(*group, "__part").orderBy(*order)
     ranked = dealt.withColumn("__row", F.row_number().over(within))
-    return (ranked.join(F.broadcast(shifts), [*group, "__part"])
+    return (ranked.join(shifts, [*group, "__part"])
             .withColumn(out, F.col("__row") - 1 + F.col("__shift")).drop("__part", "__row", "__shift"))
 
 
@@ -91,3 +93,25 @@ def connected_components(edges: DataFrame) -> DataFrame:
     nodes = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return nodes.union(roots)
+
+
+def grouped(batches: Iterator[pd.DataFrame], keys: Sequence[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
+    """(key, rows) of each group of rows that arrive sorted by ``keys``; a group may reach over several batches."""
+    rest = None
+    for pdf in itertools.chain(batches, [None]):
+        if pdf is not None and len(pdf):
+            rest = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+            ready = False
+        elif pdf is None and rest is not None:
+            ready = True
+        else:
+            continue
+        values = [rest[k].to_numpy() for k in keys]
+        change = np.zeros(len(rest), dtype=bool)
+        for v in values:
+            change[1:] |= v[1:] != v[:-1]
+        edges = [0, *np.flatnonzero(change).tolist(), len(rest)]
+        last = len(edges) - 1 if ready else len(edges) - 2
+        for lo, hi in zip(edges[:last], edges[1:last + 1]):
+            yield tuple(v[lo] for v in values), rest.iloc[lo:hi]
+        rest = None if ready else rest.iloc[edges[last]:]
