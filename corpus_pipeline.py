@@ -12,7 +12,7 @@ _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
-from retentia.llm import op7_simhash, op9_quality_rules  # noqa: E402
+from retentia.llm import op2_packing, op5_decontamination, op6_substring_dedup, op7_simhash, op9_quality_rules  # noqa: E402
 from retentia.llm.common import store, table  # noqa: E402
 
 
@@ -38,13 +38,32 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op7_simhash.one_per_component(op7_simhash.simhash_documents(docs)).select("row.*")
 
 
-STAGES = [("quality rules", quality_rules), ("simhash near-dedup", near_dedup)]
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Paragraphs that other documents keep leave the texts (n_chars follows); a document that has no word left goes."""
+    rows = op6_substring_dedup.deduplicate(docs)
+    empty = F.col("removed").isNotNull() & ~F.col("clean_text").rlike("[^\\x20\\x09-\\x0D]")
+    return rows.where(~empty).select(*[_changed(c, "clean_text") for c in docs.columns])
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a benchmark window occurs go."""
+    return op5_decontamination.find_contamination(docs, table(spark, sf_dir, "benchmark")).where(~F.col("contaminated")).select("row.*")
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents that are left, with their sequences and offsets."""
+    return op2_packing.pack_documents(docs)
+
+
+STAGES = [("quality rules", quality_rules), ("simhash near-dedup", near_dedup), ("substring dedup", substring_dedup),
+          ("benchmark decontamination", decontamination), ("best-fit packing", packing)]
 
 #: Tokenised packing can't be expressed in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over ``documents``; each stage's result is written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = store(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))

@@ -198,7 +198,8 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS, max_group: int = MAX
 
 
 def near_duplicates(rows: DataFrame, id_col: str, fp_col: str, radius: int = RADIUS, max_group: int = MAX_GROUP) -> DataFrame:
-    """``rows`` with component_id: the smallest id reachable over links of at most ``radius`` bits.
+    """``rows`` with component (the smallest fingerprint, as a signed number, that is reachable over links of at most
+    ``radius`` bits) and component_id (the smallest id of the component's documents).
 
     ``rows`` must be stored, as it is read several times. Null ids are linked but never name a component, except one
     of null ids only (null). An empty table gives no rows.
@@ -208,7 +209,7 @@ def near_duplicates(rows: DataFrame, id_col: str, fp_col: str, radius: int = RAD
     # fingerprints without links are components of their own
     known = fps.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     lows = known.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = store(known.join(lows, "component").select(F.col("fp").alias("__fp"), "component_id"), "simhash-components")
+    named = store(known.join(lows, "component").select(F.col("fp").alias("__fp"), "component", "component_id"), "simhash-components")
     return rows.join(named, F.col(fp_col) == F.col("__fp")).drop("__fp")
 
 
@@ -218,7 +219,7 @@ def fingerprint_hex(fp: Column) -> Column:
 
 def simhash_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                       radius: int = RADIUS) -> DataFrame:
-    """One row per input row: (row struct of all input columns, doc_id, fp long, component_id).
+    """One row per input row: (row struct of all input columns, doc_id, fp long, component, component_id).
 
     Null and wordless texts have fingerprint 0 and are linked like any other; repeated rows share a component.
     """
@@ -240,12 +241,9 @@ def one_per_component(rows: DataFrame) -> DataFrame:
     Components whose smallest id belongs to several rows (repeated rows, or null ids only) are rare; only their rows
     are shuffled, to keep one of them.
     """
-    first = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # rows without any id all have a null component: told apart by the fingerprint
-    key = [F.coalesce("component_id", "fp").alias("key"), F.col("component_id").isNull().alias("unnamed")]
-    keyed = first.select("row", *key)
-    several = keyed.groupBy("key", "unnamed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    first = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("row", "component")
+    several = first.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component")
     several = store(several, "simhash-several")
-    alone = keyed.join(several, ["key", "unnamed"], "left_anti")
-    tied = keyed.join(several, ["key", "unnamed"], "left_semi").dropDuplicates(["key", "unnamed"])
+    alone = first.join(several, "component", "left_anti")
+    tied = first.join(several, "component", "left_semi").dropDuplicates(["component"])
     return alone.select("row").union(tied.select("row"))

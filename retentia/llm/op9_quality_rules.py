@@ -52,11 +52,14 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
     return len(words), word_chars, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeated
 
 
-@F.pandas_udf(BASE_SCHEMA)
-def _base(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for s in texts:
-        rows = [base_counts(t) for t in s]
-        yield pd.DataFrame(rows, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"], dtype="int64")
+def base_column(text: Column) -> Column:
+    @F.pandas_udf(BASE_SCHEMA)
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for s in texts:
+            rows = [base_counts(t) for t in s]
+            yield pd.DataFrame(rows, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"], dtype="int64")
+
+    return run(text)
 
 
 def _lines(text: Column) -> Column:
@@ -93,7 +96,7 @@ def judge_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"), F.col(host_col).cast("string").alias("host"))
     rows = rows.alias("d").join(frequent.alias("f"), F.expr("d.host <=> f.host"), "left").select("row", "doc_id", "text", "f.lines")
-    rows = rows.withColumn("base", _base(F.col("text")))
+    rows = rows.withColumn("base", base_column(F.col("text")))
     over = F.coalesce(F.col("lines"), F.array().cast("array<bigint>"))
     is_over = lambda x: F.array_contains(over, F.xxhash64(_normal(x)))
     n_line = lambda x: F.when(_normal(x) == "", 0).otherwise(F.size(F.split(_normal(x), " ")))
