@@ -41,13 +41,17 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
 
 
 def money_sum(c: Column | str) -> Column:
-    """Exact sum of a cents-valued amount (DECIMAL accumulation), returned as DOUBLE.
+    """Sum of an amount, returned as DOUBLE: exact to 10 decimals (DECIMAL accumulation) where all amounts and the total
+    fit DECIMAL(38,10), else the plain double sum.
 
-    Order-independent, so every engine and every partitioning gives the same total.
+    The exact form is order-independent, so every engine and every partitioning gives the same total.
     """
-    return F.sum(_c(c).cast(T.DecimalType(18, 2))).cast("double")
+    x = _c(c).cast("double")
+    exact = x.try_cast(T.DecimalType(38, 10))
+    all_fit = F.count(x) == F.count(exact)
+    return F.coalesce(F.when(all_fit, F.try_sum(exact).cast("double")), F.sum(x))
 
 
 def money_avg(c: Column | str) -> Column:
-    """Average of a cents-valued amount from the exact sum (NULLs ignored, like AVG)."""
-    return money_sum(c) / F.count(_c(c)).cast("double")
+    """Average of an amount from ``money_sum`` (NULLs ignored, like AVG)."""
+    return F.try_divide(money_sum(c), F.count(_c(c)).cast("double"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retentia.functions.labels import month_name, rfm_label
-from retentia.functions.numeric import money_avg
+from retentia.functions.numeric import money_avg, money_sum
 from retentia.functions.numeric import round_half_up as r
 from retentia.operators.gold import before_latest, previous_month
 from retentia.operators.ntile import global_ntile
@@ -24,7 +24,7 @@ def churn_by_profile(gold: DataFrame, clientes: DataFrame) -> DataFrame:
         F.sum("fuga_combinada_1m").alias("s_fuga"),
         F.sum("dias_desde_ultima_compra").alias("s_dias"),
         F.sum("num_compras_6m").alias("s_n6"),
-        F.sum(F.col("valor_compras_6m").cast("decimal(18,2)")).alias("s_v6"),
+        money_sum("valor_compras_6m").alias("s_v6"),
         F.sum("engagement_score").alias("s_eng"))
     c = clientes.select("cliente_id", "perfil")
     n = F.sum("n").cast("double")
@@ -35,7 +35,7 @@ def churn_by_profile(gold: DataFrame, clientes: DataFrame) -> DataFrame:
                  r(F.sum("s_fuga") / n * 100, 2).alias("tasa_churn_pct"),
                  r(F.sum("s_dias") / n, 1).alias("dias_ultima_compra_avg"),
                  r(F.sum("s_n6") / n, 2).alias("compras_6m_avg"),
-                 r(F.sum("s_v6").cast("double") / n, 2).alias("valor_6m_avg"),
+                 r(money_sum("s_v6") / n, 2).alias("valor_6m_avg"),
                  r(F.sum("s_eng") / n, 2).alias("engagement_avg"))
             .orderBy(F.desc("tasa_churn_pct"), "perfil"))
 
@@ -44,7 +44,7 @@ def churn_over_time(gold: DataFrame) -> DataFrame:
     """A2. Monthly churn series (all months but the last)."""
     return (before_latest(gold)
             .groupBy("fecha_referencia")
-            .agg(F.countDistinct("cliente_id").alias("clientes_activos"),
+            .agg(F.count("cliente_id").alias("clientes_activos"),
                  F.sum("fuga_combinada_1m").cast("long").alias("casos_churn"),
                  r(F.avg("fuga_combinada_1m") * 100, 2).alias("tasa_churn_pct"),
                  r(money_avg("valor_compras_6m"), 2).alias("valor_promedio_6m"),

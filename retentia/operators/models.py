@@ -70,9 +70,9 @@ def feature_importance(model: PipelineModel, features: list[str] = CHURN_FEATURE
     """M13. Per feature: split count (weight), mean split gain (gain), mean rows reaching the split (cover).
 
     The split table is read from the saved model's node data with Spark. That layout is Spark's own persistence
-    format, so it is checked here; when it differs, the gain column falls back to ``featureImportances``.
+    format, so it is checked here; an unknown layout is an error.
     """
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.builder.getOrCreate()  # the session that holds the model
     gbt = _gbt(model)
     base = model_dir or os.path.join(ensure_checkpoint_dir(spark), f"gbt-{uuid.uuid4().hex}")
     gbt.write().overwrite().save(base)
@@ -82,20 +82,17 @@ def feature_importance(model: PipelineModel, features: list[str] = CHURN_FEATURE
     split_fields = set()
     if "split" in node_fields:
         split_fields = {f.name for f in nodes.schema["nodeData"].dataType["split"].dataType.fields}
-    if {"gain", "rawCount", "split"} <= node_fields and "featureIndex" in split_fields:
-        splits = (nodes.select(F.col("nodeData.split.featureIndex").alias("fi"), F.col("nodeData.gain").alias("g"),
-                               F.col("nodeData.rawCount").alias("c"))
-                  .where(F.col("fi") >= 0)
-                  .groupBy("fi").agg(F.count(F.lit(1)).cast("double").alias("importance_weight"),
-                                     F.avg("g").alias("importance_gain"),
-                                     F.avg(F.col("c").cast("double")).alias("importance_cover")))
-        return (names.join(F.broadcast(splits), "fi", "left")
-                .select("feature", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c)
-                                     for c in ["importance_weight", "importance_gain", "importance_cover"]]))
-    imp = gbt.featureImportances.toArray().tolist()
-    rows = [(f, 0.0, float(imp[i]), 0.0) for i, f in enumerate(features)]
-    return spark.createDataFrame(rows, "feature string, importance_weight double, importance_gain double, "
-                                       "importance_cover double")
+    if not ({"gain", "rawCount", "split"} <= node_fields and "featureIndex" in split_fields):
+        raise ValueError(f"unknown layout of saved tree nodes: {nodes.schema.simpleString()}")
+    splits = (nodes.select(F.col("nodeData.split.featureIndex").alias("fi"), F.col("nodeData.gain").alias("g"),
+                           F.col("nodeData.rawCount").alias("c"))
+              .where(F.col("fi") >= 0)
+              .groupBy("fi").agg(F.count(F.lit(1)).cast("double").alias("importance_weight"),
+                                 F.avg("g").alias("importance_gain"),
+                                 F.avg(F.col("c").cast("double")).alias("importance_cover")))
+    return (names.join(F.broadcast(splits), "fi", "left")
+            .select("feature", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c)
+                                 for c in ["importance_weight", "importance_gain", "importance_cover"]]))
 
 
 # ---------------------------------------------------------------------------------------------- model registry
@@ -118,9 +115,11 @@ def registry_entry(training: DataFrame, model_name: str, model_type: str, locati
     ts = F.current_timestamp() if created is None else F.lit(created).cast("timestamp")
     opts = F.create_map(*[x for k, v in sorted((options or {}).items()) for x in (F.lit(k), F.lit(str(v)))]) \
         if options else F.create_map().cast("map<string,string>")
+    counted = training.agg(F.count(F.lit(1)).alias("n"))  # one row, whatever the table holds
+    opts = F.map_concat(opts, F.create_map(F.lit("training_rows"), F.col("n").cast("string")))
     run = F.struct(ts.alias("start_time"), F.array(*[F.lit(f) for f in features]).alias("input_feature_columns"),
                    opts.alias("options"))
-    return (training.limit(1).select(F.lit(model_name).alias("model_name"), F.lit(model_type).alias("model_type"),
+    return (counted.select(F.lit(model_name).alias("model_name"), F.lit(model_type).alias("model_type"),
                                      ts.alias("creation_time"), F.lit(location).alias("location"),
                                      F.array(run).alias("training_run")))
 

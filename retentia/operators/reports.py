@@ -21,7 +21,7 @@ LOG_LOSS_EPS = 1e-15
 
 
 # ------------------------------------------------------------------------------------------------ M7: evaluation
-def roc_auc(df: DataFrame, label: str, score: str, buckets: int = 256) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -> DataFrame:
     """Exact ROC AUC (ties count one half) as a one-row DataFrame, without a global sort in one task.
 
     Rows are first reduced to one row per distinct score with positive/negative counts (map-side combine, so one
@@ -29,6 +29,8 @@ def roc_auc(df: DataFrame, label: str, score: str, buckets: int = 256) -> DataFr
     (a one-row aggregate, broadcast); the negatives below each score are the sum over lower buckets (a table of at most
     ``buckets`` rows) plus a running sum inside its own bucket (a window partitioned by bucket).
     """
+    if buckets is None:
+        buckets = max(256, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     y = F.col(label).cast("double")
     d = df.groupBy(F.col(score).cast("double").alias("__s")).agg(
         F.sum(F.when(y == 1, 1).otherwise(0)).cast("double").alias("__pos"),
@@ -45,8 +47,10 @@ def roc_auc(df: DataFrame, label: str, score: str, buckets: int = 256) -> DataFr
     inside = Window.partitionBy("__k").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
     d = (d.withColumn("__in", F.coalesce(F.sum("__neg").over(inside), F.lit(0.0)))
          .join(F.broadcast(offsets), "__k"))
+    # NULL when one class is missing
     return d.agg((F.sum(F.col("__pos") * (F.col("__off") + F.col("__in") + F.lit(0.5) * F.col("__neg")))
-                  / (F.sum("__pos") * F.sum("__neg"))).alias("roc_auc"))
+                  ).alias("__a"), (F.sum("__pos") * F.sum("__neg")).alias("__pn")).select(
+        F.try_divide("__a", "__pn").alias("roc_auc"))
 
 
 def evaluate(pred: DataFrame, label: str = "fuga_combinada_1m", prob: str = PROB, prediction: str = PRED) -> DataFrame:
@@ -152,11 +156,17 @@ def interpret_metrics(m: DataFrame) -> DataFrame:
 
 
 def model_info(registry: DataFrame, model_name: str) -> DataFrame:
-    """M19. Model type, creation time, location, number of training runs, features of the first run."""
-    return (registry.where(F.col("model_name") == model_name)
-            .select("model_type", "creation_time", "location",
-                    F.size("training_run").alias("num_training_runs"),
-                    F.element_at("training_run", 1).getField("input_feature_columns").alias("features_usadas")))
+    """M19. Model type, creation time, location, number of training runs, features of the first run: one row per model.
+
+    The registry is appended to at every training; a model's rows are gathered, their runs in order of time (bounded by
+    the number of trainings), and type, creation time and location are those of its first row.
+    """
+    rows = registry.where(F.col("model_name") == model_name)
+    first = F.min_by(F.struct("model_type", "creation_time", "location"), "creation_time").alias("first")
+    runs = F.array_sort(F.flatten(F.collect_list("run"))).alias("runs")
+    run = F.transform("training_run", lambda x: F.struct(x["start_time"].alias("start_time"), x["input_feature_columns"].alias("features")))
+    return (rows.withColumn("run", run).groupBy("model_name").agg(first, runs)
+            .select("first.*", F.size("runs").alias("num_training_runs"), F.element_at("runs", 1)["features"].alias("features_usadas")))
 
 
 # ------------------------------------------------------------------------------------- M13a, M14: importance

@@ -1,17 +1,20 @@
 """Wiring of the medallion layers (bronze -> silver -> gold) over one input.
 
-Each property is built once per object. With ``materialize`` (the default) the silver tables and the gold panel are
-written as Parquet under ``spark.checkpoint.dir`` when first used and read back, like the stored tables of the
-production pipeline: the lineage is cut (a lost executor recomputes from the files, not from the raw tables), a report
-that reads gold twice (e.g. a month bound as a scalar subquery plus the rows) does not rebuild the panel, and later
-plans get column pruning and filter pushdown on the files. (``Dataset.checkpoint`` would compute each table twice,
-once for the action and once for the checkpoint write.)
+With ``materialize`` (the default) the silver tables and the gold panel are written as Parquet under
+``spark.checkpoint.dir`` when first used, gold partitioned by month, and read back, like the stored tables of the
+production pipeline: the lineage is cut (a lost executor recomputes from the files, not from the raw tables), and
+month-bounded reports prune partitions. A stored layer is kept per application, input and input state (paths, lengths and
+modification times of its files), so all queries over one input share one copy; changed files give a new one.
+``dispose`` deletes the copies. (``Dataset.checkpoint`` would compute each table twice, once for the action and once for
+the checkpoint write.)
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 import uuid
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,16 +23,43 @@ from retentia.operators import gold as G
 from retentia.operators import silver as S
 from retentia.session import ensure_checkpoint_dir
 from retentia.sources import testdata as TD
+from retentia.sources.bronze import save_table
 
 # Fixed processing timestamp for reproducible silver tables in checks (CURRENT_TIMESTAMP in the reference).
 CHECK_PROCESSED_AT = "2001-09-01 00:00:00"
 
 
+#: (application, input key, layer) -> path of its stored copy.
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def input_key(spark: SparkSession, sf_dir: str) -> str:
+    """Digest of the raw tables' files: path, length, modification time (read through Hadoop's file systems)."""
+    conf = spark._jsc.hadoopConfiguration()
+    found = []
+    for name in TD.TABLES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            found += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path)]
+    return hashlib.sha256(repr((sf_dir, sorted(found))).encode()).hexdigest()
+
+
+def dispose(spark: SparkSession) -> int:
+    """Delete the stored layers of this application; how many there were."""
+    own = [k for k in _STORED if k[0] == spark.sparkContext.applicationId]
+    for k in own:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STORED.pop(k))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(own)
+
+
 class Layers:
     def __init__(self, spark: SparkSession, bronze: tuple[DataFrame, DataFrame, DataFrame],
                  as_of: str | None = TD.TESTDATA_AS_OF, sentinel: str = TD.TESTDATA_SENTINEL,
-                 processed_at: str | None = CHECK_PROCESSED_AT, materialize: bool = True):
+                 processed_at: str | None = CHECK_PROCESSED_AT, materialize: bool = True, key: str | None = None):
         self.spark = spark
+        self.key = key or uuid.uuid4().hex
         self.materialize = materialize
         self.bronze_clientes, self.bronze_transacciones, self.bronze_devoluciones = bronze
         self.as_of = as_of
@@ -38,31 +68,35 @@ class Layers:
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Layers":
-        return cls(spark, TD.bronze_tables(spark, sf_dir), **kw)
+        key = input_key(spark, sf_dir) + repr(sorted((k, str(v)) for k, v in kw.items()))
+        return cls(spark, TD.bronze_tables(spark, sf_dir), key=key, **kw)
 
-    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+    def _keep(self, build: Callable[[], DataFrame], name: str, partition_by: str | None = None) -> DataFrame:
         if not self.materialize:
-            return df
-        path = os.path.join(ensure_checkpoint_dir(self.spark), f"layer-{name}-{uuid.uuid4().hex}")
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+            return build()
+        at = (self.spark.sparkContext.applicationId, self.key, name)
+        if at not in _STORED:
+            path = os.path.join(ensure_checkpoint_dir(self.spark), f"layer-{name}-{uuid.uuid4().hex}")
+            save_table(build(), path=path, partition_by=[partition_by] if partition_by else None)
+            _STORED[at] = path
+        return self.spark.read.parquet(_STORED[at])
 
     @cached_property
     def silver_clientes(self) -> DataFrame:
-        return self._keep(S.silver_clientes(self.bronze_clientes, as_of=self.as_of, processed_at=self.processed_at),
+        return self._keep(lambda: S.silver_clientes(self.bronze_clientes, as_of=self.as_of, processed_at=self.processed_at),
                           "silver_clientes")
 
     @cached_property
     def silver_transacciones(self) -> DataFrame:
-        return self._keep(S.silver_transacciones(self.bronze_transacciones, self.silver_clientes,
+        return self._keep(lambda: S.silver_transacciones(self.bronze_transacciones, self.silver_clientes,
                                                  processed_at=self.processed_at), "silver_transacciones")
 
     @cached_property
     def silver_devoluciones(self) -> DataFrame:
-        return self._keep(S.silver_devoluciones(self.bronze_devoluciones, self.silver_transacciones,
+        return self._keep(lambda: S.silver_devoluciones(self.bronze_devoluciones, self.silver_transacciones,
                                                 processed_at=self.processed_at), "silver_devoluciones")
 
     @cached_property
     def gold(self) -> DataFrame:
-        return self._keep(G.gold_features(self.silver_transacciones, self.silver_devoluciones,
-                                          sentinel_date=self.sentinel), "gold")
+        return self._keep(lambda: G.gold_features(self.silver_transacciones, self.silver_devoluciones,
+                                          sentinel_date=self.sentinel), "gold", "fecha_referencia").select(*G.GOLD_COLUMNS)

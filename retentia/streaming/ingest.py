@@ -41,7 +41,15 @@ def ingest_bronze(spark: SparkSession, landing_root: str, lake_root: str, checkp
     the number of rows each run appended."""
     appended = {}
     for name, schema in SCHEMAS.items():
+        before = _rows(spark, f"{lake_root}/{name}")
         q = ingest_csv(spark, f"{landing_root}/{name}", schema, f"{lake_root}/{name}", f"{checkpoint_root}/{name}")
         q.awaitTermination()
-        appended[name] = sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+        appended[name] = _rows(spark, f"{lake_root}/{name}") - before
     return appended
+
+
+def _rows(spark: SparkSession, path: str) -> int:
+    """Rows of a Parquet table; 0 if it does not exist yet."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    exists = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+    return spark.read.parquet(path).count() if exists else 0
