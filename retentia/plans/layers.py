@@ -45,9 +45,9 @@ def input_key(spark: SparkSession, sf_dir: str) -> str:
     return hashlib.sha256(repr((sf_dir, sorted(found))).encode()).hexdigest()
 
 
-def dispose(spark: SparkSession) -> int:
-    """Delete the stored layers of this application; how many there were."""
-    own = [k for k in _STORED if k[0] == spark.sparkContext.applicationId]
+def dispose(spark: SparkSession, key: str | None = None) -> int:
+    """Delete this application's stored layers (of one input, if ``key`` is given); how many there were."""
+    own = [k for k in _STORED if k[0] == spark.sparkContext.applicationId and key in (None, k[1])]
     for k in own:
         path = spark._jvm.org.apache.hadoop.fs.Path(_STORED.pop(k))
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

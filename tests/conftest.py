@@ -21,6 +21,6 @@ def spark():
 
 
 @pytest.fixture(scope="session")
-def small_layers(spark):
+def small_layers(spark):  # layers are stored once per input
     from retentia.plans.layers import Layers
     return Layers.from_testdata(spark, SF_SMALL)
