@@ -17,8 +17,10 @@ their run by number, so a length that holds a third of all rows spreads over man
 
 from __future__ import annotations
 
+import base64
 import bisect
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,50 +38,61 @@ CAPACITY = 2048
 SCHEMES = ((1 / 3, 64), (0.4, 200))
 SPECIAL = "<|endoftext|>"
 END_ID = 0
-MAX_CACHED = 400_000
+MAX_CACHED = 200_000
 
 
 # ---------------------------------------------------------------- tokens
 
-class TokenIds(dict):
-    """Token ids of texts as bytes (little-endian unsigned 32-bit).
+class _Known(dict):
+    """Ids of words with ``before`` in front of them, found once and kept; emptied when full."""
+
+    def __init__(self, encode, before: str):
+        super().__init__()
+        self.encode, self.before = encode, before
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= MAX_CACHED:
+            self.clear()
+        ids = self[word] = array("I", self.encode(self.before + word)).tobytes()
+        return ids
+
+
+class TokenIds:
+    """Token ids of texts as bytes (little-endian unsigned 32-bit), the same that the tokenizers library gives.
 
     The tokenizer's pre-tokens never reach across a single blank or line break between two printing characters, except
-    that the blank belongs to the word after it. Texts are cut there, and the ids of the parts are cached; the
-    cache is emptied when it is full. Texts with special tokens in them go through the tokenizer whole.
+    that the blank belongs to the word after it. Texts are cut there, and the ids of the parts are cached. New
+    parts are encoded with the same vocabulary in the form of merge ranks, which is several times as fast; texts with
+    special tokens in them go through the tokenizer whole.
     """
 
-    _odd = regex.compile(r"[^\S \n]|  |\n\n| \n|\n |^[ \n]|[ \n]\Z")
     _cuts = regex.compile(r"(?<=\S)(?= \S)")
 
-    def __init__(self, path: str):
-        super().__init__()
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.line_break = self.encode("\n")
-
-    def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def learn(self, parts: set) -> None:
-        if len(self) > MAX_CACHED:
-            self.clear()
-        new = [p for p in parts if p not in self]
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self[p] = np.array(e.ids, dtype="<u4").tobytes()
+    def __init__(self, path: str | None = None, ranks_path: str | None = None):
+        import public_tokenizers
+        import tiktoken
+        self.path, self.tokenizer = path or public_tokenizers.path("byte_bpe_50k.json"), None
+        with open(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+            ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, f)}
+        encode = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.parts, self.after_blank = _Known(encode, ""), _Known(encode, " ")
 
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
         if SPECIAL in text:
-            return self.encode(text)
-        if self._odd.search(text):
-            parts = self._cuts.split(text)
-            self.learn(set(parts))
-            return b"".join(map(self.__getitem__, parts))
-        lines = [line.replace(" ", "\0 ").split("\0") if "\0" not in line else self._cuts.split(line) for line in text.split("\n")]
-        self.learn({p for line in lines for p in line})
-        return self.line_break.join([b"".join(map(self.__getitem__, line)) for line in lines])
+            if self.tokenizer is None:
+                from tokenizers import Tokenizer
+                self.tokenizer = Tokenizer.from_file(self.path)
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        words = text.split()
+        blanks = text.count(" ") + text.count("\n")
+        first, rest = self.parts.__getitem__, self.after_blank.__getitem__
+        if len(words) != blanks + 1 or sum(map(len, words)) != len(text) - blanks:
+            return b"".join(map(first, self._cuts.split(text)))
+        # single blanks and line breaks between words, nothing else that is white space
+        lines = [line.split(" ") for line in text.split("\n")]
+        return first("\n").join([first(line[0]) + b"".join(map(rest, line[1:])) for line in lines])
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -91,15 +104,12 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 PIECES = "array<struct<piece: int, start: long, length: long, ids_crc32: long>>"
 
 
-def token_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer_path: str | None, capacity: int) -> DataFrame:
+def token_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer_path: str | None, ranks_path: str | None,
+                 capacity: int) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every document; null text is empty and has the end id alone."""
     @F.pandas_udf(PIECES)
     def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        path = tokenizer_path
-        if path is None:
-            import public_tokenizers
-            path = public_tokenizers.path("byte_bpe_50k.json")
-        tokens = TokenIds(path)
+        tokens = TokenIds(tokenizer_path, ranks_path)
         end = np.array([END_ID], dtype="<u4").tobytes()
         for texts in batches:
             out = []
@@ -319,14 +329,14 @@ def assign(pieces: DataFrame, runs: list[Run]) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer_path: str | None = None,
-                   capacity: int = CAPACITY) -> DataFrame:
+                   ranks_path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Null and empty texts are one piece of one id; repeated rows are packed each; null ids are kept; an empty table gives no
-    rows; other columns are ignored. ``tokenizer_path``: a file of the tokenizers library (default: the byte-level
-    one of 50,257 ids among the public tokenizers).
+    rows; other columns are ignored. ``tokenizer_path`` and ``ranks_path``: a file of the tokenizers library and its vocabulary
+    as merge ranks (default: the byte-level one of 50,257 ids among the public tokenizers).
     """
-    pieces = store(token_pieces(docs, id_col, text_col, tokenizer_path, capacity), "packing-pieces")
+    pieces = store(token_pieces(docs, id_col, text_col, tokenizer_path, ranks_path, capacity), "packing-pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most capacity rows
     runs, _ = plan(histogram, capacity)
     return assign(pieces, runs)
