@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import itertools
 import string
+import sys
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -39,6 +41,24 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def per_worker(key: tuple, build: Callable[[], Any]) -> Any:
+    """One object per Python worker process, kept over the tasks that it runs (functions themselves come anew with each task)."""
+    held = sys.__dict__.setdefault("_retentia_held", {})
+    if key not in held:
+        held[key] = build()
+    return held[key]
+
+
+#: Rows up to which a stored table is broadcast; beyond, joins shuffle and AQE splits skewed partitions.
+BROADCAST_ROWS = 1 << 20
+
+
+def broadcast_if_small(stored: DataFrame, weight: Column | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Marks a stored table for broadcast if its rows (or the sum of ``weight``) are counted and found to be few."""
+    n = stored.agg(F.coalesce(F.sum(weight if weight is not None else F.lit(1)), F.lit(0))).first()[0]
+    return F.broadcast(stored) if n <= most else stored
+
+
 def salts_for(spark: SparkSession) -> int:
     """Parts that a hot group is dealt into: as many as there are shuffle partitions."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
