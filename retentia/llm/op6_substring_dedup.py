@@ -13,8 +13,8 @@ joined by one blank. Equal normal forms are one class from the start (64-bit has
 4. components of the links are the classes. Of a class whose paragraphs lie in several documents, the paragraph of the
    document with the smallest id stays and all others are removed. Repeats inside one document alone stay.
 
-Only signatures, ids and colliding paragraphs are shuffled, all with partial aggregation; documents are joined once with
-the list of their removed paragraphs, without a hint.
+Signatures and ids are shuffled with partial aggregation. Texts meet two tables: the ids of colliding paragraphs, and the
+list of each document's removed paragraphs. Either is broadcast if it is counted and found small; else that join shuffles.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm.common import ASCII_LOWER, ascii_lower, connected_components, grouped, store, table
+from retentia.llm.common import ASCII_LOWER, ascii_lower, broadcast_if_small, connected_components, grouped, store, table
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -162,13 +162,13 @@ def paragraph_links(paragraphs: DataFrame, lines: DataFrame, threshold: float =
     # buckets of two or more; of buckets with the same members one
     buckets = (banded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("pid")).alias("members")).where("n > 1")
                .groupBy("n", "members").agg(F.min("key").alias("key")).select("key", "n"))
-    members = banded.join(store(buckets, "substring-buckets"), "key")
+    members = banded.join(broadcast_if_small(store(buckets, "substring-buckets")), "key")
     tiles = F.ceil(F.col("n") / max_bucket).cast("int")
     members = members.withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("pid"), F.col("tiles")).cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     members = store(members.select("key", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), "tile", "pid"), "substring-members")
-    wanted = members.select("pid").distinct()
-    texts = lines.join(wanted, "pid", "left_semi").groupBy("pid").agg(F.first("normal").alias("normal"))
+    wanted = store(members.select("pid").distinct(), "substring-wanted")
+    texts = lines.join(broadcast_if_small(wanted), "pid", "left_semi").groupBy("pid").agg(F.first("normal").alias("normal"))
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sets: dict[int, set] = {}
@@ -210,7 +210,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = paragraph_signatures(keyed, F.col("text"), tune_bands(threshold, recall), min_words).drop("text")
     found = store(found, "substring-paragraphs")
     links = paragraph_links(found, normal_lines(keyed, F.col("text"), min_words), threshold, max_bucket)
-    classes = connected_components(links)
+    classes = broadcast_if_small(connected_components(links))
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "paragraph")
     own = found.select("doc_id", "text_hash", "paragraph", "pid").join(classes.withColumnRenamed("node", "pid"), "pid", "left")
     own = own.select("doc_id", "text_hash", "paragraph", F.coalesce("component", "pid").alias("class"), place.alias("place"))
@@ -218,14 +218,14 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared = (own.groupBy("class").agg(F.min("place").alias("keeper"), F.min(document).alias("low"), F.max(document).alias("high"))
               .where("low <> high").select("class", "keeper"))
     shared = store(shared, "substring-classes")
-    removed = (own.join(shared, "class").where(F.col("place") != F.col("keeper"))
+    removed = (own.join(broadcast_if_small(shared), "class").where(F.col("place") != F.col("keeper"))
                .groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct(
                    "paragraph", F.col("keeper.doc_id").alias("keeper_doc_id"), F.col("keeper.paragraph").alias("keeper_paragraph")))).alias("removed")))
     # rows with equal id and text repeat their paragraphs
     removed = store(removed.withColumn("removed", F.array_distinct("removed")), "substring-removed")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("doc_id"), text.alias("text"),
                        F.xxhash64(text).alias("text_hash")).alias("d")
-    rows = rows.join(removed.alias("r"), F.expr("d.doc_id <=> r.doc_id AND d.text_hash = r.text_hash"), "left")
+    rows = rows.join(broadcast_if_small(removed, F.size("removed")).alias("r"), F.expr("d.doc_id <=> r.doc_id AND d.text_hash = r.text_hash"), "left")
     gone = F.transform("removed", lambda x: x["paragraph"])
     left = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains(gone, i))
     return rows.select("row", "d.doc_id", F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")).alias("clean_text"), "removed")
