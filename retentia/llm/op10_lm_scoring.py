@@ -11,7 +11,7 @@ the lower, the more it is like the target.
 
 Counts are taken per task, summed by Spark, and bounded by vocabulary and bigram space (parameters), so the models
 can be sent to the executors; what is shuffled for them grows with the number of input splits. Texts are
-shuffled only to mark the target documents, and not even that if the target's ids are few enough for a broadcast.
+shuffled only to mark the target documents, and not even that if the target's ids are counted and few enough to broadcast.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm.common import table
+from retentia.llm.common import broadcast_if_small, store, table
 
 VOCABULARY = 1 << 16
 BIGRAM_BITS = 20
@@ -44,14 +44,21 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def build_vocabulary(docs: DataFrame, text_col: str, size: int) -> list[str]:
-    """The ``size`` most frequent words that occur twice or more (ties: the smaller word)."""
+    """The most frequent words that occur twice or more: all words down to the lowest count that leaves at most ``size``."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = pc.value_counts(split_words(batch.column(0))[0])
             yield pa.RecordBatch.from_arrays([counts.field("values").cast(pa.string()), counts.field("counts")], names=["word", "n"])
 
     counted = docs.select(F.col(text_col).cast("string")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r.word for r in counted.where("n >= 2").orderBy(F.desc("n"), "word").limit(size).collect()]
+    counted = store(counted.where("n >= 2"), "lm-words")
+    words, least = 0, None
+    for r in counted.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(size).collect():  # few different counts
+        words += r.words
+        if words > size:
+            break
+        least = r.n
+    return sorted(r.word for r in counted.where(F.col("n") >= least).select("word").collect()) if least else []  # at most ``size``
 
 
 def _numbers(words: pa.Array, vocabulary: pa.Array) -> np.ndarray:
@@ -136,7 +143,7 @@ def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_i
     words = pa.array(build_vocabulary(docs, text_col, vocabulary_size), pa.large_string())
     ids = target_ids.select(F.col("doc_id").alias("__id")).where("__id IS NOT NULL").distinct().withColumn("__target", F.lit(True))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    marked = texts.join(ids, F.col("doc_id") == F.col("__id"), "left").select("text", F.coalesce("__target", F.lit(False)).alias("target"))
+    marked = texts.join(broadcast_if_small(store(ids, "lm-target")), F.col("doc_id") == F.col("__id"), "left").select("text", F.coalesce("__target", F.lit(False)).alias("target"))
     background, target = count_ngrams(marked, words, bits)
 
     @F.arrow_udf("struct<n_tokens: long, loss_target: double, loss_background: double>")
