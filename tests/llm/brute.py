@@ -83,7 +83,8 @@ def paragraphs(rows, min_words):
 
 
 def jaccard(a, b, n=5):
-    sa, sb = ({tuple(x.split(" ")[i:i + n]) for i in range(len(x.split(" ")) - n + 1)} for x in (a, b))
+    wa, wb = a.split(" "), b.split(" ")
+    sa, sb = ({tuple(w[i:i + n]) for i in range(len(w) - n + 1)} for w in (wa, wb))
     return len(sa & sb) / len(sa | sb)
 
 

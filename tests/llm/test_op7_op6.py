@@ -109,7 +109,7 @@ def corpus(seed=3):
 def test_substring_dedup_matches_all_pairs(spark, max_bucket):
     rows = corpus()
     same = text(random.Random(9), 30)
-    rows += [(100, same + "\n" + same), (101, "short line\n\n" + "once " * 24 + "more"), (102, ""), (104, text(random.Random(10), 40000))]
+    rows += [(100, same + "\n" + same), (101, "short line\n\n" + "once " * 24 + "more"), (102, ""), (104, text(random.Random(10), 4000))]
     docs = documents(spark, rows + [(103, None)], CLASHES)
     got = D.deduplicate(docs, max_bucket=max_bucket, recall=0.99999).collect()
     removed = {(r.doc_id, x.paragraph) for r in got for x in r.removed or ()}
