@@ -49,6 +49,17 @@ def per_worker(key: tuple, build: Callable[[], Any]) -> Any:
     return held[key]
 
 
+#: Rows per Arrow batch. Texts are some kilobytes each, so Spark's default of 10,000 rows makes large batches.
+BATCH_ROWS = 2000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``BATCH_ROWS`` rows, so that workers hold few texts at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 #: Rows up to which a stored table is broadcast; beyond, joins shuffle and AQE splits skewed partitions.
 BROADCAST_ROWS = 1 << 20
 
