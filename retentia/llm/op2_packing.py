@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm.common import gapless_rank, salts_for, store, table
+from retentia.llm.common import bounded_batches, gapless_rank, per_worker, salts_for, store, table
 
 CAPACITY = 2048
 #: (share of the capacity from which a length is large, number of groups); the plan with the fewest sequences is taken.
@@ -109,7 +109,7 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer_path: st
     """(doc_id, piece, start, length, ids_crc32) of every document; null text is empty and has the end id alone."""
     @F.pandas_udf(PIECES)
     def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokens = TokenIds(tokenizer_path, ranks_path)
+        tokens = per_worker(("token ids", tokenizer_path, ranks_path), lambda: TokenIds(tokenizer_path, ranks_path))
         end = np.array([END_ID], dtype="<u4").tobytes()
         for texts in batches:
             out = []
@@ -336,6 +336,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows; other columns are ignored. ``tokenizer_path`` and ``ranks_path``: a file of the tokenizers library and its vocabulary
     as merge ranks (default: the byte-level one of 50,257 ids among the public tokenizers).
     """
+    bounded_batches(docs.sparkSession)
     pieces = store(token_pieces(docs, id_col, text_col, tokenizer_path, ranks_path, capacity), "packing-pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most capacity rows
     runs, _ = plan(histogram, capacity)
