@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 MONTH_NAMES = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October",
                "November", "December"]
 
-CLIENT_PROFILES = ["VIP", "Activo", "Ocasional", "Churned"]
-SALES_CHANNELS = ["Web", "App", "Tienda"]
-
 # Return type by share of the original purchase amount, checked top to bottom.
 RETURN_TYPES = [(0.95, "Completa"), (0.50, "Parcial Alta")]
 RETURN_TYPE_POSITIVE = "Parcial Baja"

@@ -20,11 +20,6 @@ def share_of_total(df: DataFrame, col: str, out: str, places: int = 2) -> DataFr
             .drop("__total"))
 
 
-def scalar(df: DataFrame, expr: Column) -> Column:
-    """An uncorrelated scalar subquery over ``df`` as a column (planned once, pushed into scans as a filter)."""
-    return df.select(expr).scalar()
-
-
 def bool_count(cond: Column) -> Column:
     """``SUM(CASE WHEN cond THEN 1 ELSE 0 END)`` as BIGINT."""
     return F.sum(F.when(cond, 1).otherwise(0)).cast("long")

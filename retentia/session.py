@@ -50,6 +50,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators need to a session someone else built."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # skewed joins and the rebalanced writes of ``save_table`` rely on adaptive execution
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     ensure_checkpoint_dir(spark)
     return spark
 
