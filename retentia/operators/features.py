@@ -85,10 +85,15 @@ def clustering_set(gold: DataFrame, max_recency: int = MAX_RECENCY_DAYS) -> Data
 
 
 def split_train_eval(df: DataFrame, eval_fraction: float = 0.2, seed: int = 42,
-                     keys: tuple[str, ...] = ("cliente_id", "fecha_referencia"), out: str = "is_eval") -> DataFrame:
-    """M4. Random row split by a hash of the row key (first 32 bits of an MD5 digest, which other engines can compute
-    too): stable across recomputation and executor loss (unlike ``rand``), and like the reference a client's months may
-    fall on both sides."""
+                     keys: tuple[str, ...] = ("cliente_id", "fecha_referencia"), out: str = "is_eval",
+                     portable: bool = False) -> DataFrame:
+    """M4. Random row split by a hash of the row key: stable across recomputation and executor loss (unlike
+    ``rand``), and like the reference a client's months may fall on both sides.
+
+    ``portable`` takes the first 32 bits of an MD5 digest, which other engines can compute too, instead of XXH64."""
+    if not portable:
+        h = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(1_000_000))
+        return df.withColumn(out, h < F.lit(int(round(eval_fraction * 1_000_000))))
     text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
     h = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
     return df.withColumn(out, h < F.lit(int(round(eval_fraction * 2 ** 32))))
