@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm.common import broadcast_if_small, store, table
+from retentia.llm.common import bounded_batches, broadcast_if_small, store, table
 
 VOCABULARY = 1 << 16
 BIGRAM_BITS = 20
@@ -140,6 +140,7 @@ def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_i
     included, have no tokens and losses and score 0. Repeated rows count each time and score alike. Without any target
     document the target model is the smoothed uniform one. An empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     words = pa.array(build_vocabulary(docs, text_col, vocabulary_size), pa.large_string())
     ids = target_ids.select(F.col("doc_id").alias("__id")).where("__id IS NOT NULL").distinct().withColumn("__target", F.lit(True))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))

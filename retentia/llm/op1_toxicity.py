@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm.common import ASCII_LOWER, table
+from retentia.llm.common import ASCII_LOWER, bounded_batches, table
 
 MAX_POSITIVE = 8000
 MAX_UNLABELLED = 16000
@@ -160,6 +160,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     Null and empty texts have no features and get the bias alone; repeated rows score alike; a null id is held out; an
     empty table gives no rows. Columns other than id and text are never read.
     """
+    bounded_batches(docs.sparkSession)
     weights, bias = fit(docs, labels, id_col, text_col, **options)
     rows = docs.select(F.col(id_col).alias("doc_id"), (fold(F.col(id_col)) == 0).alias("held_out"),
                        score_column(F.col(text_col), weights, bias).alias("score"))

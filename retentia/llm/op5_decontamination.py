@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm.common import store, table
+from retentia.llm.common import bounded_batches, store, table
 
 WINDOW = 10
 SHINGLE = 3
@@ -209,6 +209,7 @@ def find_contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id"
     texts have no words; wordless items have no window; an empty benchmark hits nothing; an empty corpus gives no rows;
     repeated rows give equal results.
     """
+    bounded_batches(docs.sparkSession)
     items = bench.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text")).where("text is not null")
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(size / block_bytes))
@@ -239,7 +240,7 @@ def _scan_udf(index: Index, with_state: bool):
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for texts in batches:
                 yield scan(index, texts, None)
-    return run
+    return run.asNondeterministic()  # computed once, also below filters on its result
 
 
 def _corpus_counts(rows: DataFrame, index: Index) -> dict[int, np.ndarray]:

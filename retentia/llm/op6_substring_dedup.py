@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm.common import ASCII_LOWER, ascii_lower, broadcast_if_small, connected_components, grouped, store, table
+from retentia.llm.common import ASCII_LOWER, ascii_lower, bounded_batches, broadcast_if_small, connected_components, grouped, store, table
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -36,6 +36,8 @@ MIN_WORDS = 25
 BAND_ROWS = 3
 RECALL = 0.998
 MAX_BUCKET = 2048
+#: Shingle sets that a task keeps between buckets.
+MAX_SETS = 1500
 SEED = 20240607
 
 
@@ -173,7 +175,7 @@ def paragraph_links(paragraphs: DataFrame, lines: DataFrame, threshold: float =
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sets: dict[int, set] = {}
         for (_, t1, t2), group in grouped(batches, ["key", "t1", "t2"]):
-            if len(sets) > 20_000:
+            if len(sets) > MAX_SETS:
                 sets.clear()
             pids = group["pid"].tolist()
             for p, text in zip(pids, group["normal"]):
@@ -189,7 +191,11 @@ def paragraph_links(paragraphs: DataFrame, lines: DataFrame, threshold: float =
 
 def normal_lines(docs: DataFrame, text: Column, min_words: int) -> DataFrame:
     """(pid, normal) of every paragraph, computed by Spark's functions (the same rule as ``normal_form``)."""
-    normal = F.trim(ascii_lower(F.regexp_replace(F.col("line"), "[\\x09-\\x0D ]+", " ")))
+    line = F.col("line")
+    # for ASCII lines the plain function is the same rule, and much faster; most lines have single blanks only
+    low = F.when(F.char_length(line) == F.octet_length(line), F.lower(line)).otherwise(ascii_lower(line))
+    uneven = line.contains("  ") | line.rlike("[\\x09-\\x0D]")
+    normal = F.trim(F.when(uneven, F.regexp_replace(low, "[\\x09-\\x0D ]+", " ")).otherwise(low))
     lines = docs.select(F.explode(F.split(text, "\n", -1)).alias("line")).where(F.length("line") >= 2 * min_words - 1).select(normal.alias("normal"))
     return lines.where(F.length("normal") - F.length(F.translate("normal", " ", "")) + 1 >= min_words).select(F.xxhash64("normal").alias("pid"), "normal")
 
@@ -205,6 +211,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     if min_words < SHINGLE:
         raise ValueError(f"paragraphs need at least {SHINGLE} words")
+    bounded_batches(docs.sparkSession)
     text = F.col(text_col).cast("string")
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     found = paragraph_signatures(keyed, F.col("text"), tune_bands(threshold, recall), min_words).drop("text")

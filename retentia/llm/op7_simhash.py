@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm.common import ASCII_LOWER, connected_components, store, table
+from retentia.llm.common import ASCII_LOWER, bounded_batches, connected_components, store, table
 
 SHINGLE = 3
 RADIUS = 2
@@ -223,12 +223,14 @@ def simhash_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Null and wordless texts have fingerprint 0 and are linked like any other; repeated rows share a component.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("doc_id"),
                        fingerprint_column(F.col(text_col), shingle).alias("fp"))
     return near_duplicates(store(rows, "simhash-rows"), "doc_id", "fp", radius)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = store(docs.select("doc_id", fingerprint_column(F.col("text")).alias("fp")), "simhash-rows")
     out = near_duplicates(rows, "doc_id", "fp")

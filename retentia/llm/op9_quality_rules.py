@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm.common import ascii_lower, store, table
+from retentia.llm.common import ascii_lower, bounded_batches, store, table
 
 #: Characters counted as symbols, fixed by the contract.
 SYMBOLS = "#*$%&|<>"
@@ -59,7 +59,7 @@ def base_column(text: Column) -> Column:
             rows = [base_counts(t) for t in s]
             yield pd.DataFrame(rows, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"], dtype="int64")
 
-    return run(text)
+    return run.asNondeterministic()(text)  # computed once, also below filters on its result
 
 
 def _lines(text: Column) -> Column:
@@ -92,6 +92,7 @@ def judge_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     has no words, fails the base rules and stays null. Repeated rows are judged alike and count once in line
     frequencies. An empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     frequent = frequent_lines(docs, host_col, text_col, min_docs, share)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"), F.col(host_col).cast("string").alias("host"))
