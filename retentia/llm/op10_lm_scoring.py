@@ -1,7 +1,7 @@
 """Operator 10, LM scoring: cross-entropy difference between a target and a background n-gram model.
 
-Both models are bigram models of one form over one vocabulary (the most frequent words of the corpus; all others are one
-unknown word) and one space of hashed bigrams, and both are smoothed alike:
+Both models are bigram models of one form over one vocabulary (the words that occur ``MIN_COUNT`` times or more in the corpus; all
+others are one unknown word), and both are smoothed alike:
 
     p(w) = (c(w) + 1) / (N + V),    p(w | h) = (c(h, w) + mu * p(w)) / (c(h) + mu).
 
@@ -9,9 +9,18 @@ The background counts cover every document; the target counts cover the document
 good quality). A document's score is its loss per token under the target model minus that under the background model:
 the lower, the more it is like the target.
 
-Counts are taken per task, summed by Spark, and bounded by vocabulary and bigram space (parameters), so the models
-can be sent to the executors; what is shuffled for them grows with the number of input splits. Texts are
-shuffled only to mark the target documents, and not even that if the target's ids are counted and few enough to broadcast.
+Neither vocabulary nor bigrams are capped: the counts are Spark tables that grow with the corpus, written to the shared folder
+(words and bigrams are told apart by 64-bit hashes). The steps:
+
+1. count the bigrams, pre-aggregated per batch; words and contexts are sums of them;
+2. give every bigram its words' counts (broadcast if counted and small), join bigrams with unknown words into one, and
+   store each bigram's loss under both models;
+3. explode each document's distinct bigrams, take the losses of frequent bigrams from a broadcast of bounded size and of the others
+   by a join, and sum them by text (copies of a text sum to the same mean).
+
+With ``vocabulary_size`` or ``bits`` given, the models are instead bounded by them (most frequent words, hashed bigrams) and sent to
+the executors; the query doesn't do so. Texts are shuffled only to mark the target documents, and not even that if the
+target's ids are counted and few enough to broadcast.
 """
 
 from __future__ import annotations
@@ -22,19 +31,26 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm.common import bounded_batches, broadcast_if_small, store, table
+from retentia.llm.common import BROADCAST_ROWS, bounded_batches, broadcast_if_small, store, table
 
+#: Bounds of the bounded form where only the other one is given.
 VOCABULARY = 1 << 16
 BIGRAM_BITS = 20
+MIN_COUNT = 2
 MU = 20.0
+#: Bytes of text that a task cuts into words at a time.
+PIECE_BYTES = 4 << 20
 START, UNKNOWN = 0, 1  # word numbers before the vocabulary's
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Words between ASCII white space, A-Z lower-cased, in order; each text's first word's index (n + 1 values)."""
+    if texts.offset:  # pyarrow's functions read slices wrongly after a cast
+        texts = texts.take(pa.array(np.arange(len(texts))))
     texts = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
     split = pc.ascii_split_whitespace(texts)
     words, ends = split.flatten(), split.offsets.to_numpy()
@@ -132,8 +148,121 @@ def count_ngrams(rows: DataFrame, vocabulary: pa.Array, bits: int) -> tuple[Coun
     return out[0], out[1]
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches (texts in column 0) in slices of about ``PIECE_BYTES`` of text, or one text."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        lo = 0
+        while lo < len(ends):
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PIECE_BYTES, "right")))
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
+
+def _bigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of each word's context (START before a text's first word) and of the word; each text's first word's index."""
+    words, starts = split_words(texts)
+    coded = words.cast(pa.large_binary()).dictionary_encode()
+    distinct = np.array([xxhash.xxh64_intdigest(x) for x in coded.dictionary.to_pylist()], dtype=np.uint64)
+    w = distinct[coded.indices.to_numpy(zero_copy_only=False)].view(np.int64)
+    h = _contexts(w, starts).astype(np.int64)
+    return h, w, starts
+
+
+def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rows' order by ``columns``; places in it where a new row begins, and the number of rows equal to it."""
+    order = np.lexsort(columns)
+    change = np.zeros(len(order), dtype=bool)
+    change[:1] = True
+    for c in columns:
+        change[1:] |= c[order][1:] != c[order][:-1]
+    first = np.flatnonzero(change)
+    return order, first, np.diff(np.append(first, len(order)))
+
+
+def bigram_counts(rows: DataFrame) -> DataFrame:
+    """(h, w, n, t): every bigram of ``rows`` (text, target boolean) with its occurrences in all and in target documents."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _pieces(batches):
+            h, w, starts = _bigrams(batch.column(0))
+            target = np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64), np.diff(starts))
+            order, first, n = _distinct(w, h)
+            t = np.add.reduceat(target[order], first) if len(first) else n
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (h[order[first]], w[order[first]], n, t)], names=["h", "w", "n", "t"])
+
+    counted = rows.mapInArrow(count, "h long, w long, n long, t long").groupBy("h", "w")
+    return counted.agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+
+
+def bigram_losses(bigrams: DataFrame, mu: float) -> DataFrame:
+    """(pair, n, loss_target, loss_background) of every bigram of ``bigrams`` (stored; see ``bigram_counts``)."""
+    none = F.lit(0).cast("long")
+    both = (bigrams.select(F.col("w").alias("word"), "n", "t", none.alias("cn"), none.alias("ct"))
+            .union(bigrams.select("h", none, none, "n", "t")))
+    words = store(both.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "t", "cn", "ct")]), "lm-words")
+    known = (F.col("n") >= MIN_COUNT) | (F.col("word") == START)
+    rest = [F.coalesce(F.sum(F.when(~known, F.col(c))), none).alias("un" + c) for c in ("n", "t", "cn", "ct")]
+    total = words.agg(F.coalesce(F.sum("n"), none).alias("n"), F.coalesce(F.sum("t"), none).alias("t"),
+                      F.count_if((F.col("n") >= MIN_COUNT) & (F.col("word") != START)).alias("vocabulary"), *rest).first()
+    own = broadcast_if_small(store(words.where(known), "lm-vocabulary"))
+    ws = own.select(F.col("word").alias("w"), F.lit(True).alias("kw"), F.col("n").alias("wn"), F.col("t").alias("wt"))
+    hs = own.select(F.col("word").alias("h"), F.lit(True).alias("kh"), F.col("cn").alias("hn"), F.col("ct").alias("ht"))
+    rows = bigrams.join(ws, "w", "left").join(hs, "h", "left").select(
+        F.xxhash64("h", "w").alias("pair"), "n", "t", F.when(F.col("kh"), F.col("h")).otherwise(UNKNOWN).alias("h"), F.when(F.col("kw"), F.col("w")).otherwise(UNKNOWN).alias("w"),
+        F.coalesce("wn", F.lit(total.unn)).alias("wn"), F.coalesce("wt", F.lit(total.unt)).alias("wt"),
+        F.coalesce("hn", F.lit(total.uncn)).alias("hn"), F.coalesce("ht", F.lit(total.unct)).alias("ht"))
+    strange = (F.col("h") == UNKNOWN) | (F.col("w") == UNKNOWN)
+    # a bigram that has an unknown word is counted with all others of its kind
+    kinds = rows.where(strange).groupBy("h", "w").agg(F.sum("n").alias("kn"), F.sum("t").alias("kt"))
+    joined = rows.where(strange).join(broadcast_if_small(store(kinds, "lm-unknown")), ["h", "w"])
+    rows = rows.where(~strange).withColumn("kn", F.col("n")).withColumn("kt", F.col("t")).unionByName(joined)
+
+    def loss(pairs: str, word: str, context: str, size: int):
+        p = (F.col(word) + 1.0) / float(size + total.vocabulary + 2)
+        return -F.log((F.col(pairs) + mu * p) / (F.col(context) + mu))
+
+    return rows.select("pair", "n", loss("kt", "wt", "ht", total.t).alias("loss_target"), loss("kn", "wn", "hn", total.n).alias("loss_background"))
+
+
+def frequent_from(losses: DataFrame, most: int = BROADCAST_ROWS) -> int:
+    """The power of two from which on bigrams count as frequent, so that these are ``most`` at most."""
+    power = F.floor(F.log2("n")).cast("int")
+    cut, held = 62, 0
+    for r in losses.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("bigrams")).orderBy(F.desc("power")).collect():  # 63 at most
+        held += r.bigrams
+        if held > most:
+            break
+        cut = r.power
+    return 1 << cut
+
+
+def text_losses(texts: DataFrame, losses: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """(key, loss_target, loss_background): mean losses of each text of ``texts`` (text, key: the text's hash) that has words."""
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _pieces(batches):
+            h, w, starts = _bigrams(batch.column(0))
+            row = np.repeat(np.arange(batch.num_rows), np.diff(starts))
+            order, first, times = _distinct(w, h, row)
+            at = order[first]
+            yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(row[at])), pa.array(h[at]), pa.array(w[at]), pa.array(times, pa.int64())],
+                                             names=["key", "h", "w", "times"])
+
+    rows = texts.select("text", "key").mapInArrow(explode, "key long, h long, w long, times long").select("key", F.xxhash64("h", "w").alias("pair"), "times")
+    least = frequent_from(losses, most)
+    names = ["loss_target", "loss_background"]
+    frequent = F.broadcast(losses.where(F.col("n") >= least).select("pair", *names))
+    sums = [F.sum("times").alias("times"), *[F.sum(F.col("times") * F.col(c)).alias(c) for c in names]]
+    rows = rows.join(frequent, "pair", "left")
+    parts = rows.where(F.col(names[0]).isNotNull()).groupBy("key").agg(*sums)
+    rare = losses.where(F.col("n") < least).select("pair", *names)
+    if least > 1:
+        parts = parts.union(rows.where(F.col(names[0]).isNull()).drop(*names).join(rare, "pair").groupBy("key").agg(*sums))
+    total = parts.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("times", *names)])
+    return total.select("key", *[(F.col(c) / F.col("times")).alias(c) for c in names])
+
+
 def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    vocabulary_size: int = VOCABULARY, bits: int = BIGRAM_BITS, mu: float = MU) -> DataFrame:
+                    vocabulary_size: int | None = None, bits: int | None = None, mu: float = MU) -> DataFrame:
     """One row per document: doc_id, n_tokens, loss_target, loss_background (nats per token), score (their difference).
 
     ``target_ids``: doc_id of the target documents; repeats and nulls in it don't matter. Texts without words, null ones
@@ -141,10 +270,29 @@ def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_i
     document the target model is the smoothed uniform one. An empty table gives no rows.
     """
     bounded_batches(docs.sparkSession)
-    words = pa.array(build_vocabulary(docs, text_col, vocabulary_size), pa.large_string())
     ids = target_ids.select(F.col("doc_id").alias("__id")).where("__id IS NOT NULL").distinct().withColumn("__target", F.lit(True))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     marked = texts.join(broadcast_if_small(store(ids, "lm-target")), F.col("doc_id") == F.col("__id"), "left").select("text", F.coalesce("__target", F.lit(False)).alias("target"))
+    if vocabulary_size is not None or bits is not None:
+        rows = _bounded_losses(docs, texts, marked, text_col, VOCABULARY if vocabulary_size is None else vocabulary_size,
+                               BIGRAM_BITS if bits is None else bits, mu)
+        return rows.withColumn("score", F.col("loss_target") - F.col("loss_background"))
+
+    @F.arrow_udf("long")
+    def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array(np.diff(split_words(batch)[1]))
+
+    losses = store(bigram_losses(store(bigram_counts(marked), "lm-bigrams"), mu), "lm-losses")
+    keyed = texts.withColumn("key", F.xxhash64("text"))
+    found = broadcast_if_small(store(text_losses(keyed, losses), "lm-texts"))
+    rows = keyed.select("doc_id", "key", tokens("text").alias("n_tokens")).join(found, "key", "left")
+    rows = rows.select("doc_id", "n_tokens", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("loss_target", "loss_background")])
+    return rows.withColumn("score", F.col("loss_target") - F.col("loss_background"))
+
+
+def _bounded_losses(docs: DataFrame, texts: DataFrame, marked: DataFrame, text_col: str, vocabulary_size: int, bits: int, mu: float) -> DataFrame:
+    words = pa.array(build_vocabulary(docs, text_col, vocabulary_size), pa.large_string())
     background, target = count_ngrams(marked, words, bits)
 
     @F.arrow_udf("struct<n_tokens: long, loss_target: double, loss_background: double>")
@@ -161,8 +309,7 @@ def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_i
                 out.append(pa.array(np.where(n > 0, total / np.maximum(n, 1), 0.0)))
             yield pa.StructArray.from_arrays(out, names=["n_tokens", "loss_target", "loss_background"])
 
-    rows = texts.select("doc_id", losses("text").alias("l")).select("doc_id", "l.*")
-    return rows.withColumn("score", F.col("loss_target") - F.col("loss_background"))
+    return texts.select("doc_id", losses("text").alias("l")).select("doc_id", "l.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from retentia.llm import op1_toxicity as T
@@ -129,3 +130,51 @@ def test_lm_scores_prefer_the_target(spark, tmp_path):
     assert L.query(spark, write(tmp_path, documents=documents(spark, rows).limit(0), labels=labels)).count() == 0
     nothing = L.query(spark, write(tmp_path / "n", documents=documents(spark, rows), labels=labels.limit(0)))
     assert nothing.count() == 300
+
+
+@pytest.mark.parametrize("most", [1 << 20, 5])
+def test_lm_models_are_not_capped(spark, monkeypatch, most):
+    """More words than 2^16 and every bigram counted by itself; ``most`` 5: nearly all bigrams go the way of the rare ones."""
+    rng = random.Random(5)
+    rows = [(d, sentence(rng, rng.randrange(40), 6 if d % 4 else 30)) for d in range(200)]
+    rows += [(300, None), (301, ""), (302, " \t"), (303, "\u00c9 \u00e9 A b\nA\x0bb"), (304, "a1 " * 3_000), (None, "a1 b2"), (305, "a1"), (305, "a1"), (306, "once")]
+    rows += [(1000 + d, " ".join(f"{w}" for i in range(700) for w in (f"v{700 * (d // 2) + i}",) * (1 + i % 2))) for d in range(200)]
+    target = [0, 4, 8, 12, 16, 16, 303, None, 999, 1000, 1001]
+    default = L.text_losses
+    monkeypatch.setattr(L, "text_losses", lambda texts, losses: default(texts, losses, most))
+    got = L.score_documents(documents(spark, rows, CLASHES), spark.createDataFrame([(t,) for t in target], "doc_id long")).collect()
+    texts = [(d, brute.words((t or "").translate(brute.LOWER))) for d, t in rows]
+    counts = Counter(w for _, ws in texts for w in ws)
+    vocabulary = {w for w in counts if counts[w] > 1}
+    assert len(vocabulary) > 1 << 16 > 0 < len(counts) - len(vocabulary)
+    models = []
+    for chosen in (texts, [x for x in texts if x[0] in set(target) - {None}]):
+        uni, ctx, bi = Counter(), Counter(), Counter()
+        for _, ws in chosen:
+            ids = [w if w in vocabulary else "" for w in ws]
+            uni.update(ids)
+            ctx.update([None, *ids][:len(ids)])
+            bi.update(zip([None, *ids], ids))
+        models.append((uni, ctx, bi, sum(uni.values())))
+    want = {}
+    for d, ws in texts:
+        ids = [w if w in vocabulary else "" for w in ws]
+        row = [len(ws)]
+        for uni, ctx, bi, n in reversed(models):
+            loss = sum(-math.log((bi[h, w] + L.MU * (uni[w] + 1) / (n + len(vocabulary) + 2)) / (ctx[h] + L.MU)) for h, w in zip([None, *ids], ids))
+            row.append(loss / len(ws) if ws else 0.0)
+        want[d] = row
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.n_tokens == want[r.doc_id][0]
+        assert [r.loss_target, r.loss_background] == pytest.approx(want[r.doc_id][1:], abs=1e-8)
+
+
+def test_lm_words_of_sliced_arrays():
+    a = pa.array(["zero one", None, "Two  THREE", "", "four"])
+    words, starts = L.split_words(a.slice(1, 3))
+    assert words.to_pylist() == ["two", "three"] and starts.tolist() == [0, 0, 2, 2]
+    many = pa.array([f"x{i} y{i} " * (i % 5) for i in range(40)])
+    assert L.split_words(many.slice(10, 20))[0].to_pylist() == " ".join(many.to_pylist()[10:30]).split()
+    batch = pa.RecordBatch.from_arrays([pa.array([f"a{i} b{i}" for i in range(9)] + [None])], names=["text"])
+    assert sum((L.split_words(b.column(0))[0].to_pylist() for b in L._pieces([batch.slice(3)])), []) == [f"{c}{i}" for i in range(3, 9) for c in "ab"]
