@@ -39,9 +39,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Paragraphs that other documents keep leave the texts (n_chars follows); a document that has no word left goes."""
-    rows = op6_substring_dedup.deduplicate(docs)
-    empty = F.col("removed").isNotNull() & ~F.col("clean_text").rlike("[^\\x20\\x09-\\x0D]")
+    """Paragraphs and passages that other documents keep leave the texts (n_chars follows); a document that has no word left goes."""
+    rows = op6_substring_dedup.deduplicate(docs, passage=op6_substring_dedup.PASSAGE)
+    empty = (F.col("removed").isNotNull() | F.col("passages").isNotNull()) & ~F.col("clean_text").rlike("[^\\x20\\x09-\\x0D]")
     return rows.where(~empty).select(*[_changed(c, "clean_text") for c in docs.columns])
 
 

@@ -13,12 +13,22 @@ joined by one blank. Equal normal forms are one class from the start (64-bit has
 4. components of the links are the classes. Of a class whose paragraphs lie in several documents, the paragraph of the
    document with the smallest id stays and all others are removed. Repeats inside one document alone stay.
 
+Lines miss passages inside longer lines and passages wrapped over short lines. With ``passage`` given (the query and the pipeline
+give 50), the words left are read as one sequence per document, over line ends, and every run of so many words that stands in
+several documents stays in the one with the smallest id only:
+
+5. of the half-length runs of words the least hash of each window of ``passage`` words is kept (winnowing), so two
+   documents with a window in common always share a hash;
+6. only windows that hold a shared hash are hashed as a whole and counted by document; the words of those that lie
+   in several are cut from all but the keeper.
+
 Signatures and ids are shuffled with partial aggregation. Texts meet two tables: the ids of colliding paragraphs, and the
 list of each document's removed paragraphs. Either is broadcast if it is counted and found small; else that join shuffles.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +39,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retentia.llm.common import ASCII_LOWER, ascii_lower, bounded_batches, broadcast_if_small, connected_components, grouped, store, table
+from retentia.llm.op10_lm_scoring import split_words
 
 SHINGLE = 5
 THRESHOLD = 0.8
 MIN_WORDS = 25
+#: Words of a passage that is found wherever it stands.
+PASSAGE = 50
+#: Bytes of text whose windows are hashed at a time.
+PIECE_BYTES = 4 << 20
 BAND_ROWS = 3
 RECALL = 0.998
 MAX_BUCKET = 2048
@@ -200,14 +215,118 @@ def normal_lines(docs: DataFrame, text: Column, min_words: int) -> DataFrame:
     return lines.where(F.length("normal") - F.length(F.translate("normal", " ", "")) + 1 >= min_words).select(F.xxhash64("normal").alias("pid"), "normal")
 
 
+def window_hashes(texts: pa.Array, passage: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of every ``passage`` words in a row inside a text: (text, first word, least hash of the half-length runs in it, own hash), by pieces."""
+    sizes = np.cumsum([len(t) if t else 0 for t in texts.to_pylist()])
+    half, lo = passage // 2, 0
+    runs = passage - half + 1
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + PIECE_BYTES, "right")))
+        words, starts = split_words(texts.slice(lo, hi - lo))
+        coded = words.cast(pa.large_binary()).dictionary_encode()
+        distinct = np.array([xxhash.xxh64_intdigest(x, SEED) for x in coded.dictionary.to_pylist()], dtype=np.uint64)
+        h = distinct[coded.indices.to_numpy(zero_copy_only=False)]
+        n = len(h) - passage + 1
+        if n > 0:
+            rolled = np.zeros(len(h) - half + 1, dtype=np.uint64)
+            for i in range(half):
+                rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + h[i:i + len(rolled)]
+            rolled = _mix(rolled)
+            least, width = rolled, 1
+            while 2 * width <= runs:
+                least, width = np.minimum(least[:-width], least[width:]), 2 * width
+            least = np.minimum(least[:n], least[runs - width:runs - width + n])
+            own = _mix(_mix(rolled[:n] + np.uint64(1)) ^ rolled[passage - half:passage - half + n])
+            text = np.repeat(np.arange(hi - lo), np.diff(starts))[:n]
+            inside = np.flatnonzero(np.arange(n) + passage <= starts[text + 1])
+            text = text[inside]
+            yield text + lo, inside - starts[text], least[inside].view(np.int64), own[inside].view(np.int64)
+        lo = hi
+
+
+def _lists(text: np.ndarray, n: int, values: pa.Array) -> pa.Array:
+    """Per text (``text`` ascends) its values."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(n + 1)), pa.int32()), values)
+
+
+def passage_spans(docs: DataFrame, passage: int) -> DataFrame:
+    """(doc_id, text_hash, passages): the words (word, words) of each document of ``docs`` (doc_id, text_hash, text; stored) that stand,
+    in runs of ``passage`` or more, in a document before it."""
+    @F.arrow_udf("array<long>")
+    def least_hashes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            text, least = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for t, _, m, _ in window_hashes(texts, passage):
+                new = np.ones(len(t), dtype=bool)
+                new[1:] = (t[1:] != t[:-1]) | (m[1:] != m[:-1])
+                text.append(t[new])
+                least.append(m[new])
+            yield _lists(np.concatenate(text), len(texts), pa.array(np.concatenate(least)))
+
+    @F.arrow_udf("array<struct<word: int, own: long>>")
+    def windows(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, shared in batches:
+            wanted = np.unique(shared.flatten().to_numpy(zero_copy_only=False))
+            parts = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+            for t, word, m, own in window_hashes(texts, passage):
+                held = np.isin(m, wanted)  # a hash that another text of the batch shares is shared as well
+                parts.append((t[held], word[held], own[held]))
+            text, word, own = (np.concatenate(x) for x in zip(*parts))
+            yield _lists(text, len(texts), pa.StructArray.from_arrays([pa.array(word, pa.int32()), pa.array(own)], names=["word", "own"]))
+
+    document = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    key = F.xxhash64("doc_id", "text_hash")
+    hashes = store(docs.select(key.alias("doc"), F.explode(F.array_distinct(least_hashes("text"))).alias("least")).distinct(), "substring-hashes")
+    shared = hashes.groupBy("least").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("least")
+    shared = hashes.join(broadcast_if_small(store(shared, "substring-shared")), "least").groupBy("doc").agg(F.collect_list("least").alias("shared"))
+    shared = broadcast_if_small(store(shared, "substring-lists"), F.size("shared"))
+    found = docs.withColumn("doc", key).join(shared, "doc").select("doc_id", "text_hash", F.explode(windows("text", "shared")).alias("w"))
+    found = store(found.select("doc_id", "text_hash", "w.word", "w.own"), "substring-windows")
+    keepers = found.groupBy("own").agg(F.min(document).alias("keeper"), F.max(document).alias("high")).where("keeper <> high").select("own", "keeper")
+    later = found.join(broadcast_if_small(store(keepers, "substring-keepers")), "own").where(document != F.col("keeper"))
+    words = later.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("word")).alias("words"))
+
+    @F.arrow_udf("array<struct<word: int, words: int>>")
+    def merged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for found in batches:
+            out = []
+            for first in found.to_pylist():
+                at = np.array(first)
+                new = np.flatnonzero(np.diff(at, prepend=-passage - 1) > passage)
+                ends = at[np.append(new[1:], len(at)) - 1] + passage
+                out.append([{"word": int(a), "words": int(b - a)} for a, b in zip(at[new], ends)])
+            yield pa.array(out, pa.list_(pa.struct([("word", pa.int32()), ("words", pa.int32())])))
+
+    return words.select("doc_id", "text_hash", merged("words").alias("passages"))
+
+
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def cut_words(text: str, passages: list) -> str:
+    """The text without the words of ``passages`` (dicts of word and words) and the white space after them; a line that stays begun ends."""
+    at = [m.span() for m in _WORD.finditer(text)]
+    out, done = [], 0
+    for x in passages:
+        start, last = at[x["word"]][0], at[x["word"] + x["words"] - 1][1]
+        after = at[x["word"] + x["words"]][0] if x["word"] + x["words"] < len(at) else len(text)
+        out.append(text[done:start])
+        if start and text[start - 1] != "\n" and "\n" in text[last:after]:
+            out.append("\n")
+        done = after
+    return "".join([*out, text[done:]])
+
+
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
-                threshold: float = THRESHOLD, recall: float = RECALL, max_bucket: int = MAX_BUCKET) -> DataFrame:
+                threshold: float = THRESHOLD, recall: float = RECALL, max_bucket: int = MAX_BUCKET,
+                passage: int | None = None) -> DataFrame:
     """One row per input row: (row struct of all input columns, doc_id, clean_text, removed).
 
     ``removed`` is null or an array of (paragraph, keeper_doc_id, keeper_paragraph), by paragraph number from 0; clean_text is
     the text without those lines. Null and empty texts have no paragraphs. Rows with equal id and text are one
     document and get equal results; rows with equal id and different texts are different documents; null ids come last in
-    the order of ids. An empty table gives no rows.
+    the order of ids. An empty table gives no rows. With ``passage``, clean_text is also without the words of ``passages``, null or
+    an array of (word, words), counted in the text without the removed lines.
     """
     if min_words < SHINGLE:
         raise ValueError(f"paragraphs need at least {SHINGLE} words")
@@ -235,11 +354,24 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = rows.join(broadcast_if_small(removed, F.size("removed")).alias("r"), F.expr("d.doc_id <=> r.doc_id AND d.text_hash = r.text_hash"), "left")
     gone = F.transform("removed", lambda x: x["paragraph"])
     left = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains(gone, i))
-    return rows.select("row", "d.doc_id", F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")).alias("clean_text"), "removed")
+    clean = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    if passage is None:
+        return rows.select("row", "d.doc_id", clean.alias("clean_text"), "removed")
+    rows = store(rows.select("row", "d.doc_id", "d.text_hash", clean.alias("clean_text"), "removed"), "substring-lines")
+    spans = passage_spans(rows.select("doc_id", "text_hash", F.col("clean_text").alias("text")), passage)
+    rows = rows.alias("d").join(broadcast_if_small(store(spans, "substring-passages"), F.size("passages")).alias("r"),
+                                F.expr("d.doc_id <=> r.doc_id AND d.text_hash = r.text_hash"), "left")
+
+    @F.arrow_udf("string")
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, found in batches:
+            yield pa.array([cut_words(t, x) if x else t for t, x in zip(texts.to_pylist(), found.to_pylist())], pa.string())
+
+    return rows.select("row", "d.doc_id", cut("clean_text", "passages").alias("clean_text"), "removed", "passages")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"), passage=PASSAGE)
     return rows.select("doc_id", F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"),
                        F.transform("removed", lambda x: x["paragraph"]).alias("removed_paragraphs"),
-                       F.transform("removed", lambda x: x["keeper_doc_id"]).alias("kept_in"), F.col("clean_text").alias("text"))
+                       F.transform("removed", lambda x: x["keeper_doc_id"]).alias("kept_in"), "passages", F.col("clean_text").alias("text"))

@@ -139,3 +139,40 @@ def test_bands_are_tuned():
     lines = [text(rng, 40).encode() for _ in range(50)]
     together = D.signatures(lines, b)
     assert (together == np.concatenate([D.signatures([x], b) for x in lines])).all()
+
+
+def windows_of(rows, n=50):
+    return {(d, t): [tuple(w[i:i + n]) for i in range(len(w) - n + 1)] for d, t in rows for w in [brute.words((t or "").translate(brute.LOWER))]}
+
+
+def plain_passages(rows, n=50):
+    """{(doc_id, text): numbers of the words in runs of n that stand in an earlier document}."""
+    found, first = windows_of(rows, n), {}
+    for key in sorted(found):
+        for w in found[key]:
+            first.setdefault(w, key)
+    return {key: {i + k for i, w in enumerate(ws) if first[w] != key for k in range(n)} for key, ws in found.items()}
+
+
+def check_passages(spark, rows):
+    got = D.deduplicate(documents(spark, rows, CLASHES), passage=50).collect()
+    lines = {r.doc_id: r.clean_text for r in D.deduplicate(documents(spark, rows)).collect()}
+    want = plain_passages([(d, lines[d]) for d, _ in rows])
+    assert len(got) == len(rows)
+    for r in got:
+        cut = want[r.doc_id, lines[r.doc_id]]
+        assert {x.word + i for x in r.passages or () for i in range(x.words)} == cut
+        assert brute.words(r.clean_text) == [w for i, w in enumerate(brute.words(lines[r.doc_id])) if i not in cut]
+    return {r.doc_id: r for r in got}
+
+
+@pytest.mark.parametrize("piece", [4 << 20, 5000])
+def test_passages_inside_longer_lines(spark, monkeypatch, piece):
+    monkeypatch.setattr(D, "PIECE_BYTES", piece)
+    rng = random.Random(21)
+    shared = [text(rng, n) for n in (50, 71, 120, 49)]
+    rows = [(d, " ".join([text(rng, rng.randint(1, 400)), shared[d % 4].upper() if d % 3 else shared[d % 4], text(rng, rng.randint(1, 400))])) for d in range(40)]
+    rows += [(100, ""), (101, text(rng, 49)), (102, "once " * 300), (103, "once " * 200), (104, text(rng, 300) + "\n" + shared[1] + "\nend")]
+    got = check_passages(spark, rows)
+    assert all(not got[d].passages for d in range(40) if d % 4 == 3 or d < 3) and all(got[d].passages for d in range(4, 40) if d % 4 != 3)
+    assert got[104].clean_text.endswith("\nend") and got[104].clean_text.count("\n") == 1
