@@ -176,3 +176,21 @@ def test_passages_inside_longer_lines(spark, monkeypatch, piece):
     got = check_passages(spark, rows)
     assert all(not got[d].passages for d in range(40) if d % 4 == 3 or d < 3) and all(got[d].passages for d in range(4, 40) if d % 4 != 3)
     assert got[104].clean_text.endswith("\nend") and got[104].clean_text.count("\n") == 1
+
+
+def test_passages_wrapped_over_short_lines(spark):
+    """Lines of under 25 words are no paragraphs, but passages run over line ends, wrapped otherwise in each document."""
+    rng = random.Random(22)
+
+    def wrapped(words):
+        out = []
+        while words:
+            n = rng.randint(5, 24)
+            out, words = out + [" ".join(words[:n])], words[n:]
+        return "\n".join(out)
+
+    shared = [text(rng, n).split(" ") for n in (61, 53, 49)]
+    rows = [(d, text(rng, 20) + "\n" + wrapped(shared[d % 3]) + "\n" * (1 + d % 2) + text(rng, 20)) for d in range(30)]
+    got = check_passages(spark, rows)
+    assert all(bool(got[d].passages) == (d >= 3 and d % 3 < 2) for d in range(30))
+    assert not any(r.removed for r in got.values())
