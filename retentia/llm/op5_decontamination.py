@@ -116,7 +116,8 @@ def _hits(index: Index, ids: np.ndarray, starts: np.ndarray, length: int, codes:
     if length > 1 and len(own):  # not across two texts
         cross = np.zeros(len(ids) + 1, dtype=bool)
         for i in range(1, length):
-            cross[np.maximum(starts[1:-1] - i, 0)] = True
+            before = starts[1:-1] - i
+            cross[before[before >= 0]] = True
         own = np.where(cross[:len(own)], -1, own)
     position = np.flatnonzero(own >= 0)
     at = np.searchsorted(codes, own[position])

@@ -51,6 +51,21 @@ def test_contamination_edge_cases(spark, tmp_path):
     assert B.query(spark, write(tmp_path / "b", documents=docs.limit(0), benchmark=bench)).count() == 0
 
 
+def test_texts_after_wordless_ones_keep_their_first_shingle(spark):
+    """A batch that begins with null, empty and wordless texts (or a single word), then a document equal to a short item."""
+    items = [(1, "alpha beta"), (2, "gamma delta epsilon zeta"), (3, "one two three four five six seven eight nine ten eleven")]
+    index = B.build_index(items)
+    B.choose_prefixes(index, {k: B.np.zeros(len(c), dtype=B.np.int64) for k, c in index.shingles.items()})
+    for first in ([None], [""], ["..."], [None, "", "..."], ["word"], ["", "word", None], []):
+        for item, text in items:
+            got = B.scan(index, pa.array([*first, text, "", text], pa.string()), None).to_pylist()
+            assert [x["items"] for x in got] == [[]] * len(first) + [[str(item)], [], [str(item)]]
+    rows = [(0, None), (1, ""), (2, "..."), (3, items[0][1]), (4, "x"), (5, items[1][1])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = B.find_contamination(documents(spark, rows).coalesce(1), bench).collect()
+    assert {r.doc_id: (r.n_words, r.n_hit, list(r["items"])) for r in got} == brute.contamination(rows, items)
+
+
 def test_oracles(spark):
     for module, sf in ((B, "/root/testdata/sf0.001"), (Q, "/root/testdata/sf0.001")):
         assert rows_of(module.query(spark, sf)) == oracle(module.ORACLE_SQL, sf)
