@@ -70,6 +70,18 @@ def broadcast_if_small(stored: DataFrame, weight: Column | None = None, most: in
     return F.broadcast(stored) if n <= most else stored
 
 
+def frequent_from(counted: DataFrame, most: int = BROADCAST_ROWS) -> int:
+    """The power of two from which on rows of ``counted`` (n) count as frequent, so that these are ``most`` at most."""
+    power = F.floor(F.log2("n")).cast("int")
+    cut, held = 62, 0
+    for r in counted.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("power")).collect():  # 63 at most
+        held += r.rows
+        if held > most:
+            break
+        cut = r.power
+    return 1 << cut
+
+
 def salts_for(spark: SparkSession) -> int:
     """Parts that a hot group is dealt into: as many as there are shuffle partitions."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

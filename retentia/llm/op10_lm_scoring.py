@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm.common import BROADCAST_ROWS, bounded_batches, broadcast_if_small, store, table
+from retentia.llm.common import BROADCAST_ROWS, bounded_batches, broadcast_if_small, frequent_from, store, table
 
 #: Bounds of the bounded form where only the other one is given.
 VOCABULARY = 1 << 16
@@ -224,18 +224,6 @@ def bigram_losses(bigrams: DataFrame, mu: float) -> DataFrame:
     return rows.select("pair", "n", loss("kt", "wt", "ht", total.t).alias("loss_target"), loss("kn", "wn", "hn", total.n).alias("loss_background"))
 
 
-def frequent_from(losses: DataFrame, most: int = BROADCAST_ROWS) -> int:
-    """The power of two from which on bigrams count as frequent, so that these are ``most`` at most."""
-    power = F.floor(F.log2("n")).cast("int")
-    cut, held = 62, 0
-    for r in losses.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("bigrams")).orderBy(F.desc("power")).collect():  # 63 at most
-        held += r.bigrams
-        if held > most:
-            break
-        cut = r.power
-    return 1 << cut
-
-
 def text_losses(texts: DataFrame, losses: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """(key, loss_target, loss_background): mean losses of each text of ``texts`` (text, key: the text's hash) that has words."""
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
