@@ -11,6 +11,8 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -60,6 +62,16 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+def text_pieces(batch: pa.RecordBatch, column: str | int, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``most`` bytes of text in ``column``, or one row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < len(ends):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 #: Rows up to which a stored table is broadcast; beyond, joins shuffle and AQE splits skewed partitions.
 BROADCAST_ROWS = 1 << 20
 

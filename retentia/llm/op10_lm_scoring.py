@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm.common import BROADCAST_ROWS, bounded_batches, broadcast_if_small, frequent_from, store, table
+from retentia.llm.common import BROADCAST_ROWS, bounded_batches, broadcast_if_small, frequent_from, store, table, text_pieces
 
 #: Bounds of the bounded form where only the other one is given.
 VOCABULARY = 1 << 16
@@ -151,12 +151,7 @@ def count_ngrams(rows: DataFrame, vocabulary: pa.Array, bits: int) -> tuple[Coun
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches (texts in column 0) in slices of about ``PIECE_BYTES`` of text, or one text."""
     for batch in batches:
-        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-        lo = 0
-        while lo < len(ends):
-            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PIECE_BYTES, "right")))
-            yield batch.slice(lo, hi - lo)
-            lo = hi
+        yield from text_pieces(batch, 0, PIECE_BYTES)
 
 
 def _bigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -17,21 +17,21 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm.common import bounded_batches, frequent_from, per_worker, store, table
+from retentia.llm.common import bounded_batches, frequent_from, per_worker, store, table, text_pieces
 
 #: Pairs of ids whose counts are broadcast, at 20 bytes each.
 FREQUENT = 1 << 20
 WORD_START = "▁"
-ALIGNMENT = "struct<a_ids: array<int>, b_ids: array<int>, ones: array<int>, a_sizes: array<int>, b_sizes: array<int>>"
-#: Characters of text that are aligned at a time, words encoded at a time, and tokens of known words that a worker keeps.
-PIECE_CHARS, CHUNK_WORDS, MAX_KEPT = 1 << 20, 2048, 2_000_000
+ARRAYS = ["a_ids", "b_ids", "ones", "a_sizes", "b_sizes"]
+#: Bytes of text that are aligned at a time (or one text), words encoded at a time, and tokens of known words that a worker keeps.
+PIECE_BYTES, CHUNK_WORDS, MAX_KEPT = 1 << 18, 2048, 600_000
 
 
 class Aligner:
@@ -211,34 +211,27 @@ def align_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     bounded_batches(docs.sparkSession)
 
-    @F.arrow_udf(ALIGNMENT)
-    def aligned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+    def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = per_worker(("aligner", ranks_path, pieces_path), lambda: Aligner(ranks_path, pieces_path))
         for batch in batches:
-            found = []
-            piece, chars = [], 0
-            for text in batch:
-                piece.append(text.as_py())
-                chars += len(piece[-1] or "")
-                if chars >= PIECE_CHARS:
-                    found.append(both.align(piece))
-                    piece, chars = [], 0
-            found.append(both.align(piece))
-            columns = [_lists(np.concatenate([f[1][side] for f in found]), np.concatenate([f[0][side] for f in found])) for side in (0, 1)]
-            runs = [r for f in found for r in f[2]]
-            n = np.array([len(r[0]) for r in runs], dtype=np.int64)
-            columns += [_lists(n, np.array([x for r in runs for x in r[k]], dtype=np.int32)) for k in range(3)]
-            yield pa.StructArray.from_arrays(columns, names=["a_ids", "b_ids", "ones", "a_sizes", "b_sizes"])
-
-    rows = docs.select(F.col(id_col).alias("doc_id"), aligned(F.col(text_col).cast("string")).alias("r"))
-    return rows.select("doc_id", "r.*")
+            for piece in text_pieces(batch, "text", PIECE_BYTES):  # what a piece gives leaves the worker at once
+                ids, counts, runs = both.align(piece.column("text").to_pylist())
+                n = np.array([len(r[0]) for r in runs], dtype=np.int64)
+                columns = [_lists(c, i) for c, i in zip(counts, ids)]
+                columns += [_lists(n, np.array([x for r in runs for x in r[k]], dtype=np.int32)) for k in range(3)]
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *columns], names=["doc_id", *ARRAYS])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(aligned, f"doc_id {kind}, " + ", ".join(f"{c} array<int>" for c in ARRAYS))
 
 
 #: Rows of an alignment table that are expanded at a time.
-SLICE_ROWS = 200
+SLICE_ROWS = 100
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, SLICE_ROWS):
             yield batch.slice(at, SLICE_ROWS)
@@ -248,7 +241,7 @@ class _Batch:
     """Flat arrays of alignments: ids, group sizes, ends of groups and of documents, and the links."""
 
     def __init__(self, batch: pa.RecordBatch):
-        self.a, self.b, ones, sizes_a, sizes_b = (batch.column(c).flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in ("a_ids", "b_ids", "ones", "a_sizes", "b_sizes"))
+        self.a, self.b, ones, sizes_a, sizes_b = (batch.column(c).flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in ARRAYS)
         self.n_a, self.n_b, n_runs = (np.diff(batch.column(c).offsets.to_numpy()).astype(np.int64) for c in ("a_ids", "b_ids", "ones"))
         self.in_a, self.in_b = group_sizes(ones, sizes_a), group_sizes(ones, sizes_b)
         upto, stop = np.concatenate([[0], np.cumsum(ones + (sizes_a > 0))]), np.cumsum(n_runs)
@@ -280,11 +273,11 @@ class _Batch:
 def pair_counts(aligned: DataFrame) -> DataFrame:
     """(pair, a, b, n, best) of every linked pair of ids; ``best``: no other id of A has more links with b. ``aligned`` must be stored."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
-            pairs, n = np.unique(_Batch(batch).links, return_counts=True)
+        for batch in batches:
+            pairs, n = np.unique(np.concatenate([_Batch(piece).links for piece in _slices([batch])]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(pairs, pa.int64()), pa.array(n, pa.int64())], names=["pair", "n"])
 
-    rows = aligned.select("a_ids", "b_ids", "ones", "a_sizes", "b_sizes").mapInArrow(count, "pair long, n long")
+    rows = aligned.select(*ARRAYS).mapInArrow(count, "pair long, n long")
     pairs = store(rows.groupBy("pair").agg(F.sum("n").alias("n")).withColumn("b", F.expr("int(pair & 4294967295)")), "alignment-pairs")
     most = pairs.groupBy("b").agg(F.max("n").alias("most"))  # at most as many rows as B has ids
     return pairs.join(F.broadcast(most), "b").select("pair", F.expr("int(shiftright(pair, 32))").alias("a"), "b", "n", (F.col("n") == F.col("most")).alias("best"))
