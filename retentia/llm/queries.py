@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from retentia.llm import (op1_toxicity, op2_packing, op3_sharding, op4_url_filters, op5_decontamination, op6_substring_dedup,
                           op7_simhash, op8_warc, op9_quality_rules, op10_lm_scoring,
-                          op12_token_alignment, op13_periodic_runs)
+                          op11_language_id, op12_token_alignment, op13_periodic_runs)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity.query,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc.query,
     "op9_quality_rules": op9_quality_rules.query,
     "op10_lm_scoring": op10_lm_scoring.query,
+    "op11_language_id": op11_language_id.query,
     "op12_token_alignment": op12_token_alignment.query,
     "op13_periodic_runs": op13_periodic_runs.query,
 }
