@@ -1,10 +1,25 @@
 import random
+import re
 
 import corpus_pipeline as C
 from retentia.llm.common import store
 from tests.llm import brute
 from tests.llm.helpers import documents, write
 from tests.llm.test_op2_packing import check_rows
+from tests.llm.test_op7_op6 import plain_passages
+
+
+def without(text, gone):
+    """The text without the words numbered in ``gone`` and the white space after them; a line of which words stay in front ends."""
+    parts = re.split(r"([^\x20\x09-\x0D]+)", text or "")  # white space at even places, words at odd ones
+    out = parts[0]
+    for i in range(1, len(parts), 2):
+        if i // 2 in gone:
+            ends = "\n" in parts[i + 1] and i // 2 + 1 not in gone
+            out += "\n" if ends and out and out[-1] != "\n" else ""
+        else:
+            out += parts[i] + parts[i + 1]
+    return out
 
 
 def plain(rows, items):
@@ -22,6 +37,8 @@ def plain(rows, items):
     out.append(docs)
     removed = brute.substring_dedup(docs)
     cut = [(d, "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in removed)) for d, t in docs]
+    passages = plain_passages(cut)
+    cut = [(d, without(t, passages[d, t]) if passages[d, t] else t) for d, t in cut]
     docs = [(d, t) for (d, t), (_, old) in zip(cut, docs) if t == old or brute.words(t)]
     out.append(docs)
     found = brute.contamination(docs, items)
