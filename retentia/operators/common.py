@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retentia.functions.numeric import pct
+from retentia.session import ensure_checkpoint_dir
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder (``spark.checkpoint.dir``) and read back: computed once, and its lineage ends there."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def share_of_total(df: DataFrame, col: str, out: str, places: int = 2) -> DataFrame:
