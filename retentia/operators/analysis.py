@@ -9,7 +9,7 @@ from retentia.functions.labels import month_name, rfm_label
 from retentia.functions.numeric import money_avg, money_sum
 from retentia.functions.numeric import round_half_up as r
 from retentia.operators.gold import before_latest, previous_month
-from retentia.operators.ntile import global_ntile
+from retentia.operators.ntile import global_ntiles
 
 
 def churn_by_profile(gold: DataFrame, clientes: DataFrame) -> DataFrame:
@@ -59,10 +59,8 @@ def rfm_scores(gold: DataFrame, high_is_good: bool = False) -> DataFrame:
     snap = gold.where(F.col("fecha_referencia") == previous_month(gold)).select(
         "cliente_id", "dias_desde_ultima_compra", "num_compras_6m", "valor_compras_6m", "fuga_combinada_1m")
     asc = not high_is_good
-    snap = global_ntile(snap, 5, [("dias_desde_ultima_compra", asc), ("cliente_id", True)], "recency_score")
-    snap = global_ntile(snap, 5, [("num_compras_6m", not asc), ("cliente_id", True)], "frequency_score")
-    snap = global_ntile(snap, 5, [("valor_compras_6m", not asc), ("cliente_id", True)], "monetary_score")
-    return snap
+    orders = {"recency_score": ("dias_desde_ultima_compra", asc), "frequency_score": ("num_compras_6m", not asc), "monetary_score": ("valor_compras_6m", not asc)}
+    return global_ntiles(snap, 5, orders, "cliente_id")
 
 
 def rfm_segments(gold: DataFrame, min_size: int = 10, n: int = 20, high_is_good: bool = False) -> DataFrame:
