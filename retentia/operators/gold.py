@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retentia.functions.dates import month_index, month_start
+from retentia.operators.common import stored
+from retentia.operators.joins import asof_join, range_join
 
 # FIXED VALUE: the reference's fallback date for clients with no purchase before the month (a parameter here).
 REFERENCE_SENTINEL = "2020-01-01"
@@ -47,8 +49,8 @@ def months_calendar(transacciones: DataFrame) -> DataFrame:
 
 
 def active_clients(transacciones: DataFrame) -> DataFrame:
-    """G2. Clients with at least one purchase."""
-    return transacciones.select("cliente_id").distinct()
+    """G2. Clients with at least one purchase (with a date, as everywhere in gold)."""
+    return transacciones.where(F.col("fecha_transaccion").isNotNull()).select("cliente_id").distinct()
 
 
 def client_month_spine(transacciones: DataFrame) -> DataFrame:
@@ -57,27 +59,8 @@ def client_month_spine(transacciones: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------------------------------- G4, G5
-def purchases_by_month(transacciones: DataFrame) -> DataFrame:
-    """G4. Per client and month: count, sum, average, average discount %, last purchase date."""
-    return (transacciones.withColumn("fecha_referencia", F.trunc("fecha_transaccion", "MM"))
-            .groupBy("cliente_id", "fecha_referencia")
-            .agg(F.count(F.lit(1)).alias("num_compras_mes"),
-                 F.sum("importe_neto").alias("valor_compras_mes"),
-                 F.avg("importe_neto").alias("ticket_promedio_mes"),
-                 F.avg("porcentaje_descuento").alias("promedio_descuento_mes"),
-                 F.max("fecha_transaccion").alias("fecha_ultima_compra_mes")))
-
-
-def returns_by_month(devoluciones: DataFrame) -> DataFrame:
-    """G5. Per client and month of the *return* date: count and returned amount."""
-    return (devoluciones.withColumn("fecha_referencia", F.trunc("fecha_devolucion", "MM"))
-            .groupBy("cliente_id", "fecha_referencia")
-            .agg(F.count(F.lit(1)).alias("num_devoluciones_mes"),
-                 F.sum("importe_devuelto").alias("importe_devuelto_mes")))
-
-
-# ------------------------------------------------------------------------------------------------------ the panel
-def _purchase_month_rows(transacciones: DataFrame) -> DataFrame:
+def client_month_purchases(transacciones: DataFrame) -> DataFrame:
+    """One row per client and month (``mi``, see ``month_index``) with a purchase: what G4 and the panel are made of."""
     t = transacciones.where(F.col("fecha_transaccion").isNotNull())
     return (t.groupBy("cliente_id", month_index("fecha_transaccion").alias("mi"))
             .agg(F.count(F.lit(1)).alias("p_n"),
@@ -90,16 +73,41 @@ def _purchase_month_rows(transacciones: DataFrame) -> DataFrame:
                  F.min("fecha_transaccion").alias("p_first")))
 
 
-def _return_month_rows(devoluciones: DataFrame) -> DataFrame:
+def client_month_returns(devoluciones: DataFrame) -> DataFrame:
+    """One row per client and month of the *return* date."""
     d = devoluciones.where(F.col("fecha_devolucion").isNotNull() & F.col("cliente_id").isNotNull())
     return (d.groupBy("cliente_id", month_index("fecha_devolucion").alias("mi"))
             .agg(F.count(F.lit(1)).alias("r_n"), F.sum("importe_devuelto").alias("r_s")))
 
 
+def purchases_by_month(transacciones: DataFrame) -> DataFrame:
+    """G4. Per client and month: count, sum, average, average discount %, last purchase date."""
+    return client_month_purchases(transacciones).select(
+        "cliente_id", month_start("mi").alias("fecha_referencia"), F.col("p_n").alias("num_compras_mes"), F.col("p_s").alias("valor_compras_mes"),
+        (F.col("p_s") / F.col("p_n")).alias("ticket_promedio_mes"), F.try_divide("p_dsum", "p_dn").alias("promedio_descuento_mes"),
+        F.col("p_last").alias("fecha_ultima_compra_mes"))
+
+
+def returns_by_month(devoluciones: DataFrame) -> DataFrame:
+    """G5. Per client and month of the *return* date: count and returned amount."""
+    return client_month_returns(devoluciones).select("cliente_id", month_start("mi").alias("fecha_referencia"), F.col("r_n").alias("num_devoluciones_mes"),
+                                                     F.col("r_s").alias("importe_devuelto_mes"))
+
+
+# ------------------------------------------------------------------------------------------------------ the panel
 def gold_features(transacciones: DataFrame, devoluciones: DataFrame,
                   sentinel_date: str = REFERENCE_SENTINEL, num_partitions: int | None = None) -> DataFrame:
     """The 23-column client x month panel (G6-G20 assembled).
 
+    The monthly purchases are written to the shared folder first, so the purchases are scanned and aggregated once, whatever reads the
+    monthly rows after (the panel, its clients and its calendar).
+    """
+    return gold_panel(stored(client_month_purchases(transacciones), "client-months"), client_month_returns(devoluciones), sentinel_date, num_partitions)
+
+
+def gold_panel(purchases: DataFrame, returns: DataFrame, sentinel_date: str = REFERENCE_SENTINEL, num_partitions: int | None = None) -> DataFrame:
+    """G21 from the monthly rows of ``client_month_purchases`` (stored: it is read three times) and ``client_month_returns``.
+
     ``sentinel_date`` replaces the last purchase date when a client has none before the month (the reference uses
     2020-01-01; pass a date earlier than the data, see SURVEY D5). Output is not globally sorted; use
     ``save_table(..., sort_within=[...])`` when writing.
@@ -108,12 +116,10 @@ def gold_features(transacciones: DataFrame, devoluciones: DataFrame,
     # partition count. The distinct clients are aggregated on that same client partitioning, the spine inherits it
     # through the broadcast cross join, and the union of the three keeps it, so the window needs no further exchange
     # and the spine rows (clients x months, the size of the output) are never shuffled.
-    parts = num_partitions or int(transacciones.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pm = _purchase_month_rows(transacciones).repartition(parts, "cliente_id")
-    rm = _return_month_rows(devoluciones).repartition(parts, "cliente_id")
-    # the calendar straight from the purchase dates: one column scanned, partially aggregated to <= 12 rows a year
-    months = (transacciones.where(F.col("fecha_transaccion").isNotNull())
-              .select(month_index("fecha_transaccion").alias("mi")).distinct())
+    parts = num_partitions or int(purchases.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pm = purchases.repartition(parts, "cliente_id")
+    rm = returns.repartition(parts, "cliente_id")
+    months = purchases.agg(F.collect_set("mi").alias("mi")).select(F.explode("mi").alias("mi"))  # at most 12 a year
     clients = pm.select("cliente_id").distinct()
     spine = clients.crossJoin(F.broadcast(months)).withColumn("is_spine", F.lit(True))
 
@@ -211,6 +217,55 @@ def gold_summary(gold: DataFrame) -> DataFrame:
         r(F.avg("fuga_combinada_1m") * 100, 2).alias("tasa_churn_pct"))
 
 
+# ------------------------------------------------------------- the same features by joins and subqueries
+def rolling_purchases(spine: DataFrame, transacciones: DataFrame) -> DataFrame:
+    """G7-G13 by a range join: each month's purchases of the six months before it, matched by client and time bin.
+
+    ``spine``: cliente_id, fecha_referencia (unique). The panel gets these numbers from one window; this form doesn't need a month grid.
+    """
+    begin = F.add_months("fecha_referencia", -6)
+    months = spine.select(F.col("cliente_id"), "fecha_referencia", begin.alias("desde"))
+    bought = transacciones.select("cliente_id", "fecha_transaccion", "importe_neto")
+    near = range_join(months, bought, ["cliente_id"], "desde", "fecha_referencia", "fecha_transaccion")
+    recent = F.col("fecha_transaccion") >= F.add_months("fecha_referencia", -3)
+    v = F.col("importe_neto")
+    sums = near.groupBy("cliente_id", "fecha_referencia").agg(
+        F.count_if(recent).alias("n3"), F.count(F.lit(1)).alias("n6"), F.sum(F.when(recent, v)).alias("v3"), F.sum(v).alias("v6"),
+        F.sum(F.when(~recent, v)).alias("before"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"))
+    rows = spine.select("cliente_id", "fecha_referencia").join(sums, ["cliente_id", "fecha_referencia"], "left")
+    zero, none = F.lit(0).cast("long"), F.lit(0.0)
+    return rows.select("cliente_id", "fecha_referencia", F.coalesce("n3", zero).alias("num_compras_3m"), F.coalesce("n6", zero).alias("num_compras_6m"),
+                       F.coalesce("v3", none).alias("valor_compras_3m"), F.coalesce("v6", none).alias("valor_compras_6m"),
+                       F.coalesce("mean", none).alias("ticket_promedio_6m"), (F.coalesce("v3", none) - F.coalesce("before", none)).alias("tendencia_valor_6m"),
+                       F.when(F.col("mean") > 0, F.col("sd") / F.col("mean")).otherwise(none).alias("coef_variacion_valor_6m"))
+
+
+def churn_target(spine: DataFrame, transacciones: DataFrame) -> DataFrame:
+    """G20 as the reference states it: 1 where no purchase of the client exists in the month after.
+
+    A correlated NOT EXISTS, which Spark turns into an anti join by itself; client and month are compared for equality, so a client with
+    very many purchases is spread over its months.
+    """
+    bought = transacciones.where(F.col("fecha_transaccion").isNotNull()).select(
+        F.col("cliente_id").alias("comprador"), F.trunc("fecha_transaccion", "MM").alias("mes_compra"))
+    # outer names that the purchases don't have: Spark would take a purchase's own column, even one not selected, for the outer one
+    keys = spine.select(F.col("cliente_id").alias("cliente_del_panel"), F.col("fecha_referencia").alias("mes_del_panel"))
+    again = bought.where((F.col("comprador") == F.col("cliente_del_panel").outer())
+                         & (F.col("mes_compra") == F.add_months(F.col("mes_del_panel").outer(), 1))).exists()
+    gone = keys.where(~again).withColumn("fuga_combinada_1m", F.lit(1))
+    rows = gone.unionByName(keys.where(again).withColumn("fuga_combinada_1m", F.lit(0)))
+    return rows.withColumnsRenamed({"cliente_del_panel": "cliente_id", "mes_del_panel": "fecha_referencia"})
+
+
+def returns_with_last_purchase(devoluciones: DataFrame, transacciones: DataFrame) -> DataFrame:
+    """G6's lookup for days that are no month starts: each return with the client's latest purchase before the return date."""
+    d = devoluciones.select("devolucion_id", "cliente_id", "fecha_devolucion")
+    t = transacciones.select("cliente_id", F.col("transaccion_id").alias("ultima_transaccion"), F.col("fecha_transaccion").alias("fecha_ultima_compra"))
+    found = asof_join(d, t, ["cliente_id"], "fecha_devolucion", "fecha_ultima_compra", ["ultima_transaccion", "fecha_ultima_compra"],
+                      tie="ultima_transaccion", strict=True)
+    return found.withColumn("dias_desde_ultima_compra", F.datediff("fecha_devolucion", "fecha_ultima_compra").cast("long"))
+
+
 # ------------------------------------------------------------------------------------------ month-bound helpers
 def latest_month(gold: DataFrame) -> Column:
     """``(SELECT MAX(fecha_referencia) FROM gold)`` as a scalar subquery column."""

@@ -20,9 +20,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from retentia.operators.common import stored
 from retentia.operators.features import CHURN_FEATURES, CLUSTER_FEATURES, LABEL, class_weights, split_train_eval
 from retentia.operators.reports import PRED, PROB, churn_predictions
 from retentia.session import ensure_checkpoint_dir
+from retentia.sources.bronze import replace_partitions
 
 # Reference options -> Spark ML parameters. l1/l2 regularisation has no GBTClassifier counterpart.
 CHURN_MODEL_PARAMS = dict(maxDepth=4, subsamplingRate=0.8, minInstancesPerNode=1, maxIter=20, stepSize=0.3,
@@ -124,6 +126,30 @@ def registry_entry(training: DataFrame, model_name: str, model_type: str, locati
                                      F.array(run).alias("training_run")))
 
 
+def register_run(entry: DataFrame, path: str) -> DataFrame:
+    """M19. Adds the run of ``entry`` (see ``registry_entry``) to its model's row in the registry stored at ``path``; the whole registry.
+
+    The registry has one row per model with all its runs in order of time. The row is read, extended and put in place of the old one
+    (a partition of its own); runs with one start time are one run, so a repeated registration changes nothing. Type, creation time and
+    location stay those of the first run. One writer at a time.
+    """
+    spark = entry.sparkSession
+    name = entry.first()["model_name"]
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    rows = entry
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        old = spark.read.schema(REGISTRY_SCHEMA).parquet(path).where(F.col("model_name") == name)
+        rows = old.unionByName(entry)
+    first = F.min_by(F.struct("model_type", "creation_time", "location"), "creation_time").alias("first")
+    about = rows.groupBy("model_name").agg(first)
+    runs = rows.select("model_name", F.explode("training_run").alias("run")).groupBy("model_name", F.col("run.start_time").alias("at")).agg(F.first("run").alias("run"))
+    listed = runs.groupBy("model_name").agg(F.array_sort(F.collect_list("run"), lambda a, b: F.when(a["start_time"] < b["start_time"], -1)
+                                                         .when(a["start_time"] > b["start_time"], 1).otherwise(0)).alias("training_run"))
+    merged = stored(about.join(listed, "model_name").select("model_name", "first.*", "training_run"), "registry-row")
+    replace_partitions(merged, path, ["model_name"])
+    return spark.read.schema(REGISTRY_SCHEMA).parquet(path)
+
+
 def save_model(model: PipelineModel, path: str) -> str:
     model.write().overwrite().save(path)
     return path

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from retentia.functions import labels as LB
 from retentia.functions.numeric import money_avg, money_sum, pct, round_half_up as r
-from retentia.operators.common import bool_count, share_of_total
+from retentia.operators.common import bool_count, share_of_total, stored
+from retentia.sources.bronze import replace_partitions
 from retentia.operators.gold import previous_month
 
 PROB = "probabilidad_churn"
@@ -21,20 +22,20 @@ LOG_LOSS_EPS = 1e-15
 
 
 # ------------------------------------------------------------------------------------------------ M7: evaluation
-def roc_auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, buckets: int | None = None, times: str | None = None) -> DataFrame:
     """Exact ROC AUC (ties count one half) as a one-row DataFrame, without a global sort in one task.
 
     Rows are first reduced to one row per distinct score with positive/negative counts (map-side combine, so one
     score shared by many rows is one row). Distinct scores are cut into ``buckets`` ranges by approximate quantiles
     (a one-row aggregate, broadcast); the negatives below each score are the sum over lower buckets (a table of at most
-    ``buckets`` rows) plus a running sum inside its own bucket (a window partitioned by bucket).
+    ``buckets`` rows) plus a running sum inside its own bucket (a window partitioned by bucket). ``times``: how often a row counts.
     """
     if buckets is None:
         buckets = max(256, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    y = F.col(label).cast("double")
+    y, n = F.col(label).cast("double"), F.col(times) if times else F.lit(1)
     d = df.groupBy(F.col(score).cast("double").alias("__s")).agg(
-        F.sum(F.when(y == 1, 1).otherwise(0)).cast("double").alias("__pos"),
-        F.sum(F.when(y == 1, 0).otherwise(1)).cast("double").alias("__neg"))
+        F.sum(F.when(y == 1, n).otherwise(0)).cast("double").alias("__pos"),
+        F.sum(F.when(y == 1, 0).otherwise(n)).cast("double").alias("__neg"))
     qs = [i / buckets for i in range(1, buckets)]
     bounds = d.agg(F.percentile_approx("__s", qs, 10000).alias("__b"))
     d = (d.crossJoin(F.broadcast(bounds))
@@ -54,17 +55,23 @@ def roc_auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -
 
 
 def evaluate(pred: DataFrame, label: str = "fuga_combinada_1m", prob: str = PROB, prediction: str = PRED) -> DataFrame:
-    """M7. precision, recall, accuracy, f1_score, log_loss, roc_auc of a binary classifier (positive class 1)."""
-    y, yhat = F.col(label) == 1, F.col(prediction) == 1
-    p = F.least(F.greatest(F.col(prob).cast("double"), F.lit(LOG_LOSS_EPS)), F.lit(1 - LOG_LOSS_EPS))
-    counts = pred.agg(
-        bool_count(y & yhat).alias("tp"), bool_count(~y & yhat).alias("fp"),
-        bool_count(y & ~yhat).alias("fn"), bool_count(~y & ~yhat).alias("tn"),
-        (-F.avg(F.when(y, F.log(p)).otherwise(F.log(1 - p)))).alias("log_loss"))
+    """M7. precision, recall, accuracy, f1_score, log_loss, roc_auc of a binary classifier (positive class 1). ``pred`` is read once."""
+    # the rows of one label, prediction and score are alike: they are counted once, and everything else reads the counts
+    alike = stored(pred.groupBy(label, prediction, F.col(prob).cast("double").alias(prob)).agg(F.count(F.lit(1)).alias("__n")), "evaluation")
+    y, yhat, n = F.col(label) == 1, F.col(prediction) == 1, F.col("__n")
+    p = F.least(F.greatest(F.col(prob), F.lit(LOG_LOSS_EPS)), F.lit(1 - LOG_LOSS_EPS))
+    loss = -F.when(y, F.log(p)).otherwise(F.log(1 - p))
+
+    def rows_with(cond: Column) -> Column:
+        return F.sum(F.when(cond, n).otherwise(0)).cast("long")
+
+    counts = alike.agg(
+        rows_with(y & yhat).alias("tp"), rows_with(~y & yhat).alias("fp"), rows_with(y & ~yhat).alias("fn"), rows_with(~y & ~yhat).alias("tn"),
+        F.try_divide(F.sum(n * loss), F.sum(F.when(loss.isNotNull(), n))).alias("log_loss"))
     tp, fp, fn, tn = (F.col(c).cast("double") for c in ("tp", "fp", "fn", "tn"))
     precision = F.try_divide(tp, tp + fp)
     recall = F.try_divide(tp, tp + fn)
-    return (counts.crossJoin(roc_auc(pred, label, prob))
+    return (counts.crossJoin(roc_auc(alike, label, prob, times="__n"))
             .select(precision.alias("precision"), recall.alias("recall"),
                     F.try_divide(tp + tn, tp + tn + fp + fn).alias("accuracy"),
                     F.try_divide(2 * precision * recall, precision + recall).alias("f1_score"),
@@ -130,12 +137,23 @@ METRIC_COLUMNS = ["precision", "recall", "accuracy", "f1_score", "log_loss", "ro
 
 
 def metrics_record(evaluation: DataFrame, model_id: str, evaluated_at: str | None = None) -> DataFrame:
-    """M16. One metrics row with model id and evaluation time (append it to the metrics table with ``save_table``,
-    mode "append", so the table keeps the history the reference queries it for)."""
+    """M16. One metrics row with model id and evaluation time (``store_metrics`` adds it to the metrics table, which keeps the history that
+    the reference queries it for)."""
     ts = F.current_timestamp() if evaluated_at is None else F.lit(evaluated_at).cast("timestamp")
     return evaluation.select(F.lit(model_id).alias("modelo_id"), ts.alias("fecha_evaluacion"), *METRIC_COLUMNS)
 
 
+def store_metrics(record: DataFrame, path: str, run_id: str) -> DataFrame:
+    """M16. Adds one evaluation to the metrics table at ``path`` and returns the whole table, read back from storage.
+
+    A run is a partition of its own that is replaced if it is written again, so a repeated or retried run counts once and the other
+    runs' history stays.
+    """
+    spark = record.sparkSession
+    replace_partitions(record.withColumn("ejecucion_id", F.lit(run_id)), path, ["ejecucion_id"])
+    return spark.read.parquet(path)
+
+
 def list_metrics(m: DataFrame) -> DataFrame:
     """M17. Stored metrics rounded to 4 places, newest first."""
     return (m.select("modelo_id", "fecha_evaluacion",

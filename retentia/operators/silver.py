@@ -122,6 +122,18 @@ def quality_transacciones(silver: DataFrame, channels: tuple[str, str, str] = ("
         bool_count(F.col("con_descuento")).alias("transacciones_con_descuento"))
 
 
+def sales_pivot(silver: DataFrame, by: list[str], column: str = "canal", values: tuple[str, ...] = ("Web", "App", "Tienda"),
+                other: str = "otros") -> DataFrame:
+    """S5's channel columns in general: sales of each of ``values`` of a column, per group, one column ``ventas_<value>`` each.
+
+    Given values make the pivot one aggregation (Spark needn't look for them first). Values not given, and nulls, are
+    summed in ``ventas_<other>``, so the columns add up to the total.
+    """
+    known = F.when(F.col(column).isin(*values), F.col(column)).otherwise(F.lit(other))
+    wide = silver.groupBy(*by, known.alias("__v")).agg(money_sum("importe_neto").alias("__s")).groupBy(*by).pivot("__v", [*values, other]).agg(F.sum("__s"))
+    return wide.select(*by, *[F.coalesce(F.col(f"`{v}`"), F.lit(0.0)).alias(f"ventas_{v.lower()}") for v in [*values, other]])
+
+
 def monthly_sales(silver: DataFrame) -> DataFrame:
     """S6 (also dashboard P2)."""
     return (silver.groupBy("anio", "mes", "nombre_mes")

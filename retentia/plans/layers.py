@@ -96,7 +96,11 @@ class Layers:
         return self._keep(lambda: S.silver_devoluciones(self.bronze_devoluciones, self.silver_transacciones,
                                                 processed_at=self.processed_at), "silver_devoluciones")
 
+    @cached_property
+    def client_months(self) -> DataFrame:
+        return self._keep(lambda: G.client_month_purchases(self.silver_transacciones), "client_months")
+
     @cached_property
     def gold(self) -> DataFrame:
-        return self._keep(lambda: G.gold_features(self.silver_transacciones, self.silver_devoluciones,
-                                          sentinel_date=self.sentinel), "gold", "fecha_referencia").select(*G.GOLD_COLUMNS)
+        return self._keep(lambda: G.gold_panel(self.client_months, G.client_month_returns(self.silver_devoluciones), self.sentinel),
+                          "gold", "fecha_referencia").select(*G.GOLD_COLUMNS)

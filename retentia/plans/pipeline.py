@@ -19,10 +19,12 @@ import argparse
 import json
 import os
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from retentia.operators import boosting as BT
 from retentia.operators import features as FT
 from retentia.operators import gold as G
 from retentia.operators import models as MD
@@ -77,7 +79,8 @@ class Pipeline:
         return sc, st, sd
 
     def gold(self, st: DataFrame, sd: DataFrame) -> DataFrame:
-        g = G.gold_features(st, sd, sentinel_date=self.sentinel)
+        months = self._write("compras_mensuales", G.client_month_purchases(st))
+        g = G.gold_panel(months, G.client_month_returns(sd), self.sentinel)
         # Sorting each task's rows by month first lets the partitioned writer stream one month directory at a time.
         return self._write("gold_caracterizacion_mensual_clientes", g, partition_by="fecha_referencia",
                            sort_within=["fecha_referencia", "cliente_id"])
@@ -85,18 +88,22 @@ class Pipeline:
     def churn_model(self, gold: DataFrame, model_id: str = "modelo_churn_xgboost"):
         training = self._write("datos_entrenamiento_churn", FT.training_set(gold))
         t0 = time.time()
-        model = MD.fit_churn_model(training)
+        model = BT.fit_churn_trees(training)
         self.result.seconds["fit_churn_model"] = time.time() - t0
-        model_path = self._save_model(model, model_id)
+        model_path = os.path.join(self.result.root, "models", model_id)
+        BT.save_trees(model, self.spark, model_path)
+        self.result.paths["model_" + model_id] = model_path
         # the held-out predictions are stored once; the metrics read them instead of re-scoring in every branch
-        held_out = self._write("predicciones_evaluacion", MD.evaluation_predictions(model, training))
+        held_out = self._write("predicciones_evaluacion", BT.evaluation_predictions(model, training))
         evaluation = RP.evaluate(held_out)
-        self._write("metricas_modelo_churn", RP.metrics_record(evaluation, model_id), mode="append")
-        self._write("model_registry",
-                    MD.registry_entry(training, model_id, "BOOSTED_TREE_CLASSIFIER", model_path, FT.CHURN_FEATURES,
-                                      options=MD.CHURN_MODEL_PARAMS), mode="append")
+        run = uuid.uuid4().hex
+        for name, add in (("metricas_modelo_churn", lambda path: RP.store_metrics(RP.metrics_record(evaluation, model_id), path, run)),
+                          ("model_registry", lambda path: MD.register_run(MD.registry_entry(training, model_id, "BOOSTED_TREE_CLASSIFIER", model_path,
+                                                                                            FT.CHURN_FEATURES, options=BT.PARAMS), path))):
+            self.result.paths[name] = os.path.join(self.result.root, name)
+            add(self.result.paths[name])
         scoring = self._write("clientes_scoring_actual", FT.scoring_set(gold))
-        predictions = self._write("predicciones_churn", MD.predict_churn(model, scoring))
+        predictions = self._write("predicciones_churn", BT.predict_churn(model, scoring))
         return model, predictions
 
     def segments(self, gold: DataFrame, model_id: str = "modelo_clustering_kmeans"):

@@ -6,6 +6,8 @@ layer's strict ``yyyy-MM-dd`` parse sees exactly what was delivered.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -80,6 +82,57 @@ def save_table(df: DataFrame, name: str | None = None, path: str | None = None,
     if path:
         writer.save(path)
     elif name:
-        writer.saveAsTable(name)
+        if mode == "overwrite":
+            replace_table(df, name, partition_by)
+        else:
+            writer.saveAsTable(name)
     else:
         raise ValueError("save_table needs a name or a path")
+
+
+def replace_table(df: DataFrame, name: str, partition_by: list[str] | None = None, root: str | None = None) -> str:
+    """``CREATE OR REPLACE TABLE name AS df``: a new version is written beside the old one, then the name is pointed at it.
+
+    Spark's own overwrite drops the old table before it writes, so a failed job leaves nothing. Here a failure leaves the old table as it
+    was, and readers that have begun keep their files. Versions lie under ``root``/name (default root: the warehouse folder) and stay until
+    somebody deletes them. A version with the schema of the one before is swapped in by one catalog change; another schema
+    takes a drop and a create, both of the catalog entry alone. Returns the new version's folder.
+    """
+    spark = df.sparkSession
+    root = root or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{root.rstrip('/')}/{name.replace('.', '/')}-{uuid.uuid4().hex}"
+    writer = df.write.mode("errorifexists").format("parquet")
+    (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+    parts = list(partition_by or [])
+    columns = sorted(((f.name, f.dataType) for f in df.schema), key=lambda c: c[0] in parts and 1 + parts.index(c[0]))  # partition columns are last in a table
+    exists = spark.catalog.tableExists(name)
+    if exists and [(f.name, f.dataType) for f in spark.table(name).schema] == columns and _partition_columns(spark, name) == parts:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    else:
+        if exists:
+            spark.sql(f"DROP TABLE {name}")  # the files of a version written here are not the catalog's and stay
+        _create_table(spark, name, path, columns, parts)
+    spark.catalog.refreshTable(name)
+    return path
+
+
+def _create_table(spark: SparkSession, name: str, path: str, columns: list[tuple[str, T.DataType]], parts: list[str]) -> None:
+    """A table over a folder whose partitions are found in the folder, not listed in the catalog, so that a new location brings its own."""
+    setting = "spark.sql.hive.manageFilesourcePartitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        listed = ", ".join(f"`{c}` {kind.simpleString()}" for c, kind in columns)
+        by = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
+        spark.sql(f"CREATE TABLE {name} ({listed}) USING parquet {by} LOCATION '{path}'")
+    finally:
+        spark.conf.set(setting, before)
+
+
+def _partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Writes ``df`` over the partitions that it has rows for (a re-run month); the others stay. Spark stages the files and moves them at the end."""
+    df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)

@@ -1,7 +1,4 @@
-"""A representative slice of __spark_entry__ queries against their DuckDB oracles on the smallest tables.
-
-``tools/compare_oracles.py`` runs the full catalogue the same way.
-"""
+"""Every query of the catalogue that has an oracle against it, on the smallest tables (the corpus queries: tests/llm)."""
 
 import math
 import os
@@ -11,14 +8,11 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from retentia.plans import registry
 from retentia.sources.testdata import TABLES
 from tests.conftest import SF_SMALL
 
-NAMES = ["check_bronze_transacciones", "bronze_summary", "silver_clientes", "quality_transacciones",
-         "silver_devoluciones", "returns_by_reason", "gold_features", "gold_summary", "churn_by_profile",
-         "rfm_segments", "churn_correlations", "training_set", "class_weights", "evaluate", "prediction_summary",
-         "profile_segments", "assign_segments_fixed_centroids", "model_info", "sales_by_channel",
-         "inactivity_alert"]
+NAMES = sorted(registry.ORACLES)
 
 
 def _norm(v):
