@@ -18,11 +18,13 @@ Missing values have a bin of their own, and every split sends them to the side w
 from __future__ import annotations
 
 import itertools
+import sys
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,9 @@ from retentia.operators.common import stored
 from retentia.operators.features import CHURN_FEATURES, LABEL, class_weights, split_train_eval
 from retentia.operators.reports import PRED, PROB, churn_predictions
 
+# functions of this module travel to the executors by value, so nodes need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # FIXED VALUES: the reference's training options.
 PARAMS = dict(max_tree_depth=4, subsample=0.8, l1_reg=0.001, l2_reg=0.1, min_tree_child_weight=1.0, min_rel_progress=0.01,
               eval_fraction=0.2, max_iterations=20, learn_rate=0.3)
