@@ -160,8 +160,8 @@ def test_hot_client_is_reduced_before_the_window(spark):
     cold = [purchase(f"X{i}", f"K{i}", f"2001-0{1 + i % 3}-15", amount=5.0) for i in range(6000)]
     c, t, d = frames(spark, [client("C1")] + [client(f"K{i}") for i in range(6000)], hot + cold, [])
     L = Layers(spark, (c, t, d), sentinel="1990-01-01")
-    from retentia.operators.gold import _purchase_month_rows
-    per_month = _purchase_month_rows(L.silver_transacciones).where(F.col("cliente_id") == "C1").count()
+    from retentia.operators.gold import client_month_purchases
+    per_month = client_month_purchases(L.silver_transacciones).where(F.col("cliente_id") == "C1").count()
     assert per_month == 3
     g = {r.fecha_referencia: r for r in L.gold.where(F.col("cliente_id") == "C1").collect()}
     assert g[D("2001-03-01")].num_compras_3m == 2000
