@@ -17,6 +17,7 @@ from __future__ import annotations
 import io
 import json
 import re
+import uuid
 import struct
 import zlib
 from collections.abc import Iterator
@@ -106,7 +107,7 @@ class WarcWriter(DataSourceArrowWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WarcCommit:
         task = TaskContext.get()
-        name = f"part-{task.partitionId():05d}-{task.taskAttemptId()}.warc.gz"
+        name = f"part-{task.partitionId():05d}-{task.taskAttemptId()}-{uuid.uuid4().hex}.warc.gz"
         fs, base = _open_fs(self.path)
         fs.create_dir(base, recursive=True)
         at, start, chunks = 0, 0, []
@@ -127,6 +128,9 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages: list) -> None:
         fs, base = _open_fs(self.path)
         listed = [{"file": m.file, "chunks": m.chunks} for m in messages if m is not None]
+        if fs.get_file_info(f"{base}/{MANIFEST}").type == pa.fs.FileType.File:  # an archive is there already: its files stay listed
+            with fs.open_input_stream(f"{base}/{MANIFEST}", compression=None) as f:
+                listed = json.loads(f.read()) + listed
         with fs.open_output_stream(f"{base}/{MANIFEST}.new", compression=None) as out:
             out.write(json.dumps(listed).encode())
         fs.move(f"{base}/{MANIFEST}.new", f"{base}/{MANIFEST}")
@@ -372,15 +376,22 @@ def register(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme: one without is on the file system that Hadoop has as default, for driver and executors alike."""
+    given = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return str(given.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(given).toString())
+
+
 def read_warc(spark: SparkSession, path: str, columns: str = SCHEMA) -> DataFrame:
     """Leave ``payload`` out of ``columns`` and blocks are not decoded (but for the HTTP headers, for payload_length)."""
     register(spark)
-    return spark.read.format("warc").schema(columns).load(path)
+    return spark.read.format("warc").schema(columns).load(qualified(spark, path))
 
 
 def write_warc(records: DataFrame, path: str) -> None:
+    """Adds the records to the archive at ``path`` (new or not; one writer at a time). A failed job adds nothing to what is read."""
     register(records.sparkSession)
-    records.write.format("warc").mode("append").save(path)
+    records.write.format("warc").mode("append").save(qualified(records.sparkSession, path))
 
 
 # ---------------------------------------------------------------- pages as archives
@@ -390,11 +401,11 @@ def page_records(pages: DataFrame, min_bytes: int = 1000, id_col: str = "page_id
     """One record per page. Of equal payloads of at least ``min_bytes`` the page with the largest id is the response.
 
     Only digests and ids are aggregated. Digests that repeat are stored, and joined without a hint: broadcast while they
-    are few, else shuffled with skewed digests split. Null html is an empty payload; null ids are smaller than all
-    others; rows that share the largest id, or groups of null ids only, are all responses; empty tables give no record.
+    are few, else shuffled with skewed digests split. Ids may be of any type that has an order and a text form (texts are compared as
+    texts). Null html is an empty payload; null ids are smaller than all others; rows that share the largest id, or groups of null ids only, are all responses; empty tables give no record.
     """
     html = F.encode(F.coalesce(F.col(html_col).cast("string"), F.lit("")), "UTF-8")
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("target_uri"), html.alias("payload"),
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("target_uri"), html.alias("payload"),
                         F.sha1(html).alias("payload_digest"), F.octet_length(html).cast("long").alias("payload_length"))
     repeated = store(rows.where(F.col("payload_length") >= min_bytes).groupBy("payload_digest", "payload_length")
                      .agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "warc-repeated")
@@ -406,16 +417,17 @@ def page_records(pages: DataFrame, min_bytes: int = 1000, id_col: str = "page_id
 
 
 def _urn(page_id: Column) -> Column:
-    return F.concat(F.lit("urn:page:"), F.coalesce(page_id.cast("string"), F.lit("null")))
+    coded = F.url_encode(page_id.cast("string"))  # the text "null" is told from a null id
+    return F.concat(F.lit("urn:page:"), F.coalesce(F.when(coded == "null", "%6Eull").otherwise(coded), F.lit("null")))
 
 
-def _page(urn: Column) -> Column:
-    return F.nullif(F.regexp_extract(urn, "^urn:page:(.*)$", 1), F.lit("null")).cast("long")
+def _page(urn: Column, kind: str) -> Column:
+    return F.url_decode(F.nullif(F.regexp_extract(urn, "^urn:page:(.*)$", 1), F.lit("null"))).cast(kind)
 
 
 def archive_pages(pages: DataFrame, path: str) -> DataFrame:
     """Write the pages' archive, read it back: one row per record, digest and size of responses taken from the payload read."""
-    spark = pages.sparkSession
+    spark, kind = pages.sparkSession, pages.schema["page_id"].dataType.simpleString()
     write_warc(page_records(pages), path)
     responses = read_warc(spark, path, "record_id string, record_type string, payload binary").where("record_type = 'response'")
     responses = responses.select("record_id", "record_type", F.lit(None).cast("string").alias("refers_to"),
@@ -424,8 +436,8 @@ def archive_pages(pages: DataFrame, path: str) -> DataFrame:
     revisits = revisits.where("record_type = 'revisit'").select("record_id", "record_type", "refers_to",
                                                                  F.col("payload_length").alias("payload_bytes"), "payload_digest")
     both = responses.unionByName(revisits)
-    return both.select(_page(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
-                       _page(F.col("refers_to")).alias("refers_to"))
+    return both.select(_page(F.col("record_id"), kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                       _page(F.col("refers_to"), kind).alias("refers_to"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

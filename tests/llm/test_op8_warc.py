@@ -82,3 +82,25 @@ def test_oracle_with_repeats(spark, tmp_path):
     rows = [r for r in PAGES if r[0] is not None and r[0] != 11]
     sf = write(tmp_path, pages=pages(spark, rows))
     assert rows_of(W.query(spark, sf)) == oracle(W.ORACLE_SQL, sf)
+
+
+def test_append_keeps_what_is_there(spark, tmp_path):
+    path = str(tmp_path / "w")
+    page = lambda *ids: W.page_records(spark.createDataFrame([(i, f"http://x/{i}", f"<p>{i}</p>") for i in ids], "page_id long, url string, html string"))
+    W.write_warc(page(1, 2, 3), path)
+    W.write_warc(page(4, 5), path)
+    W.write_warc(page(), path)
+    got = W.read_warc(spark, path, "record_id string, payload binary").collect()
+    assert sorted((r.record_id, bytes(r.payload)) for r in got) == [(f"urn:page:{i}", f"<p>{i}</p>".encode()) for i in range(1, 6)]
+
+
+def test_ids_of_other_types(spark, tmp_path):
+    same = "z" * 1200
+    rows = [("a b/ü%", same), ("null", same), (None, same), ("", "x"), ("line\nbreak", "y")]
+    got = W.archive_pages(spark.createDataFrame([(i, "http://u", h) for i, h in rows], "page_id string, url string, html string"), str(tmp_path / "s"))
+    assert sorted(((r.page_id, r.record_type, r.refers_to) for r in got.collect()), key=str) == sorted(
+        [("a b/ü%", "revisit", "null"), ("null", "response", None), (None, "revisit", "null"), ("", "response", None), ("line\nbreak", "response", None)], key=str)
+
+
+def test_paths_get_the_default_file_system(spark, tmp_path):
+    assert W.qualified(spark, str(tmp_path)).startswith("file:/") and W.qualified(spark, f"file://{tmp_path}/x").endswith("/x")
