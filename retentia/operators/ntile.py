@@ -92,6 +92,7 @@ class _Border:
     kind: int
     level: int = 0
     conditions: list[Column] = field(default_factory=list)
+    path: tuple = ()  # which conditions these are, so that borders with equal ones share their candidates
 
 
 class _Order:
@@ -112,6 +113,7 @@ class _Order:
         kinds = F.when(x.isNull(), first).when(strange, last).otherwise(F.lit(1))
         self.made = [kinds.alias(f"__kind_{name}"), F.when(~strange, value).alias(f"__value_{name}")]
         self.kind, self.value, self.id = F.col(f"__kind_{name}"), F.col(f"__value_{name}"), F.col("__id")
+        self.whole = kind not in ("float", "double")
         self.text = df.schema[row_id].dataType.typeName() == "string"
         self.of_value = self._halves(self.value) if kind == "long" else [self.value]
 
@@ -151,7 +153,7 @@ def _borders(df: DataFrame, k: int, orders: dict[str, _Order], most: int) -> dic
             for c in (0, 1, 2):
                 own = counts[f"{name}_{c}"]
                 if rank <= own:
-                    todo.append(_Border(name, rank, own, c, 0 if c == 1 else len(o.of_value), [o.kind == c]))
+                    todo.append(_Border(name, rank, own, c, 0 if c == 1 else len(o.of_value), [o.kind == c], (c,)))
                     break
                 rank -= own
     while large := [b for b in todo if b.count > most]:
@@ -159,19 +161,26 @@ def _borders(df: DataFrame, k: int, orders: dict[str, _Order], most: int) -> dic
     if not todo:
         return {name: [] for name in orders}
 
+    # one job for all orders; whole numbers and doubles have a column each
+    groups = list({(b.order, b.path): b for b in todo}.values())
+
     def candidate(i: int, b: _Border) -> Column:
         o = orders[b.order]
-        return F.when(_all(b.conditions), F.struct(F.lit(i).alias("i"), o.value.alias("value"), o.id.alias("id")))
+        value = o.value if o.whole else F.lit(None)
+        return F.when(_all(b.conditions), F.struct(F.lit(i).alias("i"), value.cast("long").alias("whole"),
+                                                   (F.lit(None) if o.whole else o.value).cast("double").alias("broken"), o.id.alias("id")))
 
+    # a group has ``most`` rows at most, and there are as many groups as borders at most
+    found = df.select(F.explode(F.array(*[candidate(i, b) for i, b in enumerate(groups)])).alias("c")).where("c IS NOT NULL").select("c.*").toArrow()
     out: dict[str, list[tuple]] = {name: [] for name in orders}
-    for name in orders:  # values of one order have one type; candidates: k - 1 times ``most`` rows at most
-        own = [(i, b) for i, b in enumerate(todo) if b.order == name]
-        if not own:
-            continue
-        found = df.select(F.explode(F.array(*[candidate(i, b) for i, b in own])).alias("c")).where("c IS NOT NULL").select("c.*").collect()
-        for i, b in own:
-            rows = sorted(((r.value, r.id) for r in found if r.i == i), key=lambda r: (0 if r[0] is None else r[0], r[1].encode() if isinstance(r[1], str) else r[1]))
-            out[name].append((b.kind, *rows[b.rank - 1]))
+    of_group: dict[int, list[tuple]] = {i: [] for i in range(len(groups))}
+    for i, whole, broken, row_id in zip(*(found.column(c).to_pylist() for c in ("i", "whole", "broken", "id"))):
+        of_group[i].append((broken if whole is None else whole, row_id))
+    for i, group in enumerate(groups):
+        of_group[i].sort(key=lambda r: (0 if r[0] is None else r[0], r[1].encode() if isinstance(r[1], str) else r[1]))
+        for b in todo:
+            if (b.order, b.path) == (group.order, group.path):
+                out[b.order].append((b.kind, *of_group[i][b.rank - 1]))
     return out
 
 
@@ -204,6 +213,7 @@ def _narrow(df: DataFrame, borders: list[_Border], orders: dict[str, _Order]) ->
                 break
             b.rank -= own
         b.count = own
+        b.path += (part, *at[i])
         if part % 2:
             b.conditions.append(parts[i] == F.lit(at[i][part // 2]))
             b.level += 1

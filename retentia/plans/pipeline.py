@@ -91,17 +91,23 @@ class Pipeline:
         model = BT.fit_churn_trees(training)
         self.result.seconds["fit_churn_model"] = time.time() - t0
         model_path = os.path.join(self.result.root, "models", model_id)
+        t0 = time.time()
         BT.save_trees(model, self.spark, model_path)
+        self.result.seconds["save_" + model_id] = time.time() - t0
         self.result.paths["model_" + model_id] = model_path
         # the held-out predictions are stored once; the metrics read them instead of re-scoring in every branch
         held_out = self._write("predicciones_evaluacion", BT.evaluation_predictions(model, training))
+        t0 = time.time()
         evaluation = RP.evaluate(held_out)
+        self.result.seconds["evaluate"] = time.time() - t0
         run = uuid.uuid4().hex
         for name, add in (("metricas_modelo_churn", lambda path: RP.store_metrics(RP.metrics_record(evaluation, model_id), path, run)),
                           ("model_registry", lambda path: MD.register_run(MD.registry_entry(training, model_id, "BOOSTED_TREE_CLASSIFIER", model_path,
                                                                                             FT.CHURN_FEATURES, options=BT.PARAMS), path))):
             self.result.paths[name] = os.path.join(self.result.root, name)
+            t0 = time.time()
             add(self.result.paths[name])
+            self.result.seconds[name] = time.time() - t0
         scoring = self._write("clientes_scoring_actual", FT.scoring_set(gold))
         predictions = self._write("predicciones_churn", BT.predict_churn(model, scoring))
         return model, predictions
