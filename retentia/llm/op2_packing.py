@@ -35,7 +35,7 @@ from retentia.llm.common import bounded_batches, gapless_rank, per_worker, salts
 
 CAPACITY = 2048
 #: (share of the capacity from which a length is large, number of groups); the plan with the fewest sequences is taken.
-SCHEMES = ((1 / 3, 64), (0.4, 200))
+SCHEMES = ((1 / 3, 64), (0.4, 200), (0.5, 200))
 SPECIAL = "<|endoftext|>"
 END_ID = 0
 MAX_CACHED = 200_000
