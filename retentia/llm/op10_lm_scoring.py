@@ -10,17 +10,18 @@ good quality). A document's score is its loss per token under the target model m
 the lower, the more it is like the target.
 
 Neither vocabulary nor bigrams are capped: the counts are Spark tables that grow with the corpus, written to the shared folder
-(words and bigrams are told apart by 64-bit hashes). The steps:
-
-1. count the bigrams, pre-aggregated per batch; words and contexts are sums of them;
-2. give every bigram its words' counts (broadcast if counted and small), join bigrams with unknown words into one, and
-   store each bigram's loss under both models;
-3. explode each document's distinct bigrams, take the losses of frequent bigrams from a broadcast of bounded size and of the others
-   by a join, and sum them by text (copies of a text sum to the same mean).
-
-With ``vocabulary_size`` or ``bits`` given, the models are instead bounded by them (most frequent words, hashed bigrams) and sent to
-the executors; the query doesn't do so. Texts are shuffled only to mark the target documents, and not even that if the
-target's ids are counted and few enough to broadcast.
+(words are told apart by 64-bit hashes). What is sent to the executors is bounded, and holds what is met most often:
+
+1. count the words, as words and as contexts. The ``FREQUENT_WORDS`` most frequent ones get numbers and are sent out;
+2. count the bigrams, pre-aggregated by piece of text. A bigram of two numbered words is one 64-bit number; of those, only the
+   ones that occur twice or more are stored, for the counts of the others are known: one, in the document at hand;
+3. each text's loss is summed where it is stored: bigrams of numbered words take the ``FREQUENT_PAIRS`` most frequent counts from what was
+   sent out, and count as occurring once otherwise;
+4. what that leaves is joined by bigram: the difference that the stored count of a repeated bigram makes, and the whole loss of bigrams with
+   other words. A filter of ``FILTER_BITS`` bits keeps most bigrams that occur once out of that join; a full filter
+   lets more of them through, which changes no result.
+
+Texts are shuffled only to mark the target documents, and not even that if the target's ids are counted and few enough to broadcast.
 """
 
 from __future__ import annotations
@@ -32,19 +33,23 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm.common import BROADCAST_ROWS, bounded_batches, broadcast_if_small, frequent_from, store, table, text_pieces
+from retentia.llm.common import bounded_batches, broadcast_if_small, frequent_from, store, table, text_pieces
 
-#: Bounds of the bounded form where only the other one is given.
-VOCABULARY = 1 << 16
-BIGRAM_BITS = 20
 MIN_COUNT = 2
 MU = 20.0
+#: Words and bigrams whose counts are sent to the executors (40 and 24 bytes each).
+FREQUENT_WORDS = 1 << 20
+FREQUENT_PAIRS = 1 << 20
+#: Bits of the filter of repeated bigrams (16 MB).
+FILTER_BITS = 27
 #: Bytes of text that a task cuts into words at a time.
 PIECE_BYTES = 4 << 20
-START, UNKNOWN = 0, 1  # word numbers before the vocabulary's
+START, UNKNOWN = 0, 1  # in place of a word's hash
+_WORD = np.int64((1 << 32) - 1)
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -59,147 +64,140 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words.filter(pa.array(full)), starts.astype(np.int64)
 
 
-def build_vocabulary(docs: DataFrame, text_col: str, size: int) -> list[str]:
-    """The most frequent words that occur twice or more: all words down to the lowest count that leaves at most ``size``."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts = pc.value_counts(split_words(batch.column(0))[0])
-            yield pa.RecordBatch.from_arrays([counts.field("values").cast(pa.string()), counts.field("counts")], names=["word", "n"])
-
-    counted = docs.select(F.col(text_col).cast("string")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counted = store(counted.where("n >= 2"), "lm-words")
-    words, least = 0, None
-    for r in counted.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(size).collect():  # few different counts
-        words += r.words
-        if words > size:
-            break
-        least = r.n
-    return sorted(r.word for r in counted.where(F.col("n") >= least).select("word").collect()) if least else []  # at most ``size``
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches (texts in column 0) in slices of about ``PIECE_BYTES`` of text, or one text."""
+    for batch in batches:
+        yield from text_pieces(batch, 0, PIECE_BYTES)
 
 
-def _numbers(words: pa.Array, vocabulary: pa.Array) -> np.ndarray:
-    return pc.index_in(words, value_set=vocabulary).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64) + 2
+def _coded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct words; of each word its place among them; each text's first word's index."""
+    words, starts = split_words(texts)
+    coded = words.cast(pa.large_binary()).dictionary_encode()
+    distinct = np.array([xxhash.xxh64_intdigest(x) for x in coded.dictionary.to_pylist()], dtype=np.uint64).view(np.int64)
+    return distinct, coded.indices.to_numpy(zero_copy_only=False), starts
 
 
-def _contexts(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def _contexts(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The word before each word; START before a text's first."""
-    before = np.concatenate([[START], ids[:-1]])[:len(ids)]
-    first = starts[:-1][np.diff(starts) > 0]
-    before[first] = START
+    before = np.concatenate([[START], words[:-1]])[:len(words)]
+    before[starts[:-1][np.diff(starts) > 0]] = START
     return before
 
 
-def _buckets(before: np.ndarray, ids: np.ndarray, bits: int) -> np.ndarray:
-    pair = (before.astype(np.uint64) << np.uint64(32)) | ids.astype(np.uint64)
-    pair = (pair ^ (pair >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    pair = (pair ^ (pair >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-    return (pair >> np.uint64(64 - bits)).astype(np.int64)
+def _flags(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
 
 
-@dataclass
-class Counts:
-    """Of one model: occurrences of words, of words as contexts, and of hashed bigrams."""
-    words: np.ndarray
-    contexts: np.ndarray
-    bigrams: np.ndarray
+def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rows' order by ``columns``; places in it where a new row begins, and the number of rows equal to it."""
+    order = np.lexsort(columns) if len(columns) > 1 else np.argsort(columns[0], kind="stable")
+    change = np.zeros(len(order), dtype=bool)
+    change[:1] = True
+    for c in columns:
+        change[1:] |= c[order][1:] != c[order][:-1]
+    first = np.flatnonzero(change)
+    return order, first, np.diff(np.append(first, len(order)))
 
-    @classmethod
-    def zeros(cls, n_words: int, bits: int) -> "Counts":
-        return cls(np.zeros(n_words, np.int64), np.zeros(n_words, np.int64), np.zeros(1 << bits, np.int64))
 
-    def probabilities(self, before: np.ndarray, ids: np.ndarray, bits: int, mu: float) -> np.ndarray:
-        p = (self.words[ids] + 1.0) / (self.words.sum() + len(self.words))
-        return (self.bigrams[_buckets(before, ids, bits)] + mu * p) / (self.contexts[before] + mu)
+def _found(values: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``values`` in ``known`` (ascending), and whether they are there."""
+    if not len(known):
+        return np.zeros(len(values), np.int64), np.zeros(len(values), dtype=bool)
+    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    return at, known[at] == values
 
 
-def count_ngrams(rows: DataFrame, vocabulary: pa.Array, bits: int) -> tuple[Counts, Counts]:
-    """(background, target) counts of ``rows`` (text, target boolean)."""
-    n_words = len(vocabulary) + 2
+def word_counts(rows: DataFrame) -> DataFrame:
+    """(word, n, t, cn, ct): occurrences of every word of ``rows`` (text, target boolean) in all and in target documents, and as context."""
+    names = ["word", "n", "t", "cn", "ct"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = [Counts.zeros(n_words, bits), Counts.zeros(n_words, bits)]
-        for batch in batches:
-            words, starts = split_words(batch.column(0))
-            ids = _numbers(words, vocabulary)
-            before = _contexts(ids, starts)
-            target = np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype(bool), np.diff(starts))
-            for c, chosen in zip(both, (slice(None), target)):
-                i, h = ids[chosen], before[chosen]
-                c.words += np.bincount(i, minlength=n_words)
-                c.contexts += np.bincount(h, minlength=n_words)
-                c.bigrams += np.bincount(_buckets(h, i, bits), minlength=1 << bits)
-        for kind, name in enumerate(("words", "contexts", "bigrams")):
-            background, target = (getattr(c, name) for c in both)
-            at = np.flatnonzero(background)
-            for lo in range(0, len(at), 1 << 16):
-                part = at[lo:lo + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), kind, np.int32)), pa.array(part.astype(np.int32)), pa.array(background[part]),
-                                                  pa.array(target[part])], names=["kind", "at", "background", "target"])
-
-    counted = rows.mapInArrow(count, "kind int, at int, background long, target long").groupBy("kind", "at")
-    summed = counted.agg(F.sum("background").alias("background"), F.sum("target").alias("target")).toArrow()  # vocabulary + bigram space at most
-    kind, at = (summed.column(c).to_numpy() for c in ("kind", "at"))
-    out = []
-    for side in ("background", "target"):
-        c, n = Counts.zeros(n_words, bits), summed.column(side).to_numpy()
-        for k, name in enumerate(("words", "contexts", "bigrams")):
-            getattr(c, name)[at[kind == k]] = n[kind == k]
-        out.append(c)
-    return out[0], out[1]
+        for batch in _pieces(batches):
+            distinct, codes, starts = _coded(batch.column(0))
+            per, chosen = np.diff(starts), _flags(batch)
+            last = codes[starts[1:][per > 0] - 1]
+            n, t = (np.bincount(c, minlength=len(distinct)) for c in (codes, codes[np.repeat(chosen, per)]))
+            ends, target_ends = (np.bincount(c, minlength=len(distinct)) for c in (last, last[chosen[per > 0]]))
+            first = [START, 0, 0, len(last), int(chosen[per > 0].sum())]
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(c, f), pa.int64()) for c, f in zip((distinct, n, t, n - ends, t - target_ends), first)], names=names)
 
+    counted = rows.mapInArrow(count, ", ".join(f"{c} long" for c in names)).groupBy("word")
+    return counted.agg(*[F.sum(c).alias(c) for c in names[1:]])
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches (texts in column 0) in slices of about ``PIECE_BYTES`` of text, or one text."""
-    for batch in batches:
-        yield from text_pieces(batch, 0, PIECE_BYTES)
 
+def bigram_counts(rows: DataFrame, numbered: Broadcast) -> DataFrame:
+    """(h, w, n, t): occurrences of every bigram of ``rows`` (text, target boolean) in all and in target documents.
 
-def _bigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of each word's context (START before a text's first word) and of the word; each text's first word's index."""
-    words, starts = split_words(texts)
-    coded = words.cast(pa.large_binary()).dictionary_encode()
-    distinct = np.array([xxhash.xxh64_intdigest(x) for x in coded.dictionary.to_pylist()], dtype=np.uint64)
-    w = distinct[coded.indices.to_numpy(zero_copy_only=False)].view(np.int64)
-    h = _contexts(w, starts).astype(np.int64)
-    return h, w, starts
+    Of two numbered words, h is both numbers in one and w is null; of others, h and w are hashes.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = numbered.value[0]
+        for batch in _pieces(batches):
+            distinct, codes, starts = _coded(batch.column(0))
+            target = np.repeat(_flags(batch), np.diff(starts)).astype(np.int32)
+            pair, both, h, w = _numbered_pairs(distinct, codes, starts, words)
+            for columns, flags in (((pair[both],), target[both]), ((w[~both], h[~both]), target[~both])):
+                if len(flags):
+                    order, first, n = _distinct(*columns)
+                    own = [pa.array(c[order[first]], pa.int64()) for c in reversed(columns)]
+                    own = own if len(own) > 1 else [own[0], pa.nulls(len(first), pa.int64())]
+                    yield pa.RecordBatch.from_arrays([*own, pa.array(n, pa.int32()), pa.array(np.add.reduceat(flags[order], first), pa.int32())], names=["h", "w", "n", "t"])
+
+    counted = rows.mapInArrow(count, "h long, w long, n int, t int").groupBy("h", "w")
+    return counted.agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
 
 
-def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The rows' order by ``columns``; places in it where a new row begins, and the number of rows equal to it."""
-    order = np.lexsort(columns)
-    change = np.zeros(len(order), dtype=bool)
-    change[:1] = True
-    for c in columns:
-        change[1:] |= c[order][1:] != c[order][:-1]
-    first = np.flatnonzero(change)
-    return order, first, np.diff(np.append(first, len(order)))
+def _numbered_pairs(distinct: np.ndarray, codes: np.ndarray, starts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per word: its bigram as one number, whether both its words are numbered, and the hashes of context and word."""
+    at, known = _found(distinct, words)
+    numbers = np.where(known, at + 1, -1)[codes]  # 0 is the start
+    before = _contexts(numbers, starts)
+    w = distinct[codes]
+    return (before << 32) | numbers, (numbers >= 0) & (before >= 0), _contexts(w, starts), w
 
 
-def bigram_counts(rows: DataFrame) -> DataFrame:
-    """(h, w, n, t): every bigram of ``rows`` (text, target boolean) with its occurrences in all and in target documents."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _pieces(batches):
-            h, w, starts = _bigrams(batch.column(0))
-            target = np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64), np.diff(starts))
-            order, first, n = _distinct(w, h)
-            t = np.add.reduceat(target[order], first) if len(first) else n
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (h[order[first]], w[order[first]], n, t)], names=["h", "w", "n", "t"])
+@dataclass
+class Model:
+    """Counts of both models: stored tables, totals, and what is sent out of the frequent words.
 
-    counted = rows.mapInArrow(count, "h long, w long, n long, t long").groupBy("h", "w")
-    return counted.agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    ``numbered``: hashes of the frequent words (ascending); mu * p(w) and log(c(h) + mu) by number, for target and background.
+    """
+    words: DataFrame
+    bigrams: DataFrame
+    total: Row
+    numbered: Broadcast
+    mu: float
 
 
-def bigram_losses(bigrams: DataFrame, mu: float) -> DataFrame:
-    """(pair, n, loss_target, loss_background) of every bigram of ``bigrams`` (stored; see ``bigram_counts``)."""
+def build_model(rows: DataFrame, mu: float = MU, most: int = FREQUENT_WORDS) -> Model:
+    """The model of ``rows`` (text, target boolean); ``most``: words that are numbered."""
     none = F.lit(0).cast("long")
-    both = (bigrams.select(F.col("w").alias("word"), "n", "t", none.alias("cn"), none.alias("ct"))
-            .union(bigrams.select("h", none, none, "n", "t")))
-    words = store(both.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "t", "cn", "ct")]), "lm-words")
-    known = (F.col("n") >= MIN_COUNT) | (F.col("word") == START)
-    rest = [F.coalesce(F.sum(F.when(~known, F.col(c))), none).alias("un" + c) for c in ("n", "t", "cn", "ct")]
+    words = store(word_counts(rows), "lm-words")
+    proper = F.col("word") != START
+    rare = [F.coalesce(F.sum(F.when(proper & (F.col("n") < MIN_COUNT), F.col(c))), none).alias("un" + c) for c in ("n", "t", "cn", "ct")]
     total = words.agg(F.coalesce(F.sum("n"), none).alias("n"), F.coalesce(F.sum("t"), none).alias("t"),
-                      F.count_if((F.col("n") >= MIN_COUNT) & (F.col("word") != START)).alias("vocabulary"), *rest).first()
-    own = broadcast_if_small(store(words.where(known), "lm-vocabulary"))
+                      F.count_if(proper & (F.col("n") >= MIN_COUNT)).alias("vocabulary"), *rare).first()
+    least = max(MIN_COUNT, frequent_from(words.where(proper), most))
+    held = words.where(~proper | (F.col("n") >= least)).toArrow()  # ``most`` words and the start
+    word, n, t, cn, ct = (held.column(c).to_numpy() for c in ("word", "n", "t", "cn", "ct"))
+    order = np.argsort(word, kind="stable")
+    order = order[word[order] != START]
+    arrays = [word[order]]
+    for own, context, size in ((t, ct, total.t), (n, cn, total.n)):
+        arrays.append(np.append(1.0, mu * (own[order] + 1.0) / float(size + total.vocabulary + 2)))
+        arrays.append(np.log(np.append(context[word == START].sum(), context[order]) + mu))
+    numbered = rows.sparkSession.sparkContext.broadcast(tuple(arrays))
+    bigrams = bigram_counts(rows, numbered).where(F.col("w").isNotNull() | (F.col("n") > 1))
+    return Model(words, store(bigrams, "lm-bigrams"), total, numbered, mu)
+
+
+def rare_losses(model: Model) -> DataFrame:
+    """(pair, plain_loss, target_loss, background_loss) of the bigrams that aren't of two numbered words; whole losses."""
+    total, mu = model.total, model.mu
+    bigrams = model.bigrams.where("w IS NOT NULL")
+    known = model.words.where((F.col("n") >= MIN_COUNT) | (F.col("word") == START))
+    own = broadcast_if_small(store(known, "lm-vocabulary"))
     ws = own.select(F.col("word").alias("w"), F.lit(True).alias("kw"), F.col("n").alias("wn"), F.col("t").alias("wt"))
     hs = own.select(F.col("word").alias("h"), F.lit(True).alias("kh"), F.col("cn").alias("hn"), F.col("ct").alias("ht"))
     rows = bigrams.join(ws, "w", "left").join(hs, "h", "left").select(
@@ -216,36 +214,112 @@ def bigram_losses(bigrams: DataFrame, mu: float) -> DataFrame:
         p = (F.col(word) + 1.0) / float(size + total.vocabulary + 2)
         return -F.log((F.col(pairs) + mu * p) / (F.col(context) + mu))
 
-    return rows.select("pair", "n", loss("kt", "wt", "ht", total.t).alias("loss_target"), loss("kn", "wn", "hn", total.n).alias("loss_background"))
+    target = loss("kt", "wt", "ht", total.t)
+    return rows.select("pair", target.alias("plain_loss"), target.alias("target_loss"), loss("kn", "wn", "hn", total.n).alias("background_loss"))
+
+
+def repeated_losses(repeated: DataFrame, numbered: Broadcast) -> DataFrame:
+    """(pair, plain_loss, target_loss, background_loss) of ``repeated`` bigrams (h, n, t) of two numbered words: what their counts add to
+    the loss as if they occurred once, in a document that is not of the target, in one that is, and under the background model."""
+    @F.arrow_udf("struct<plain_loss: double, target_loss: double, background_loss: double>")
+    def more(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        _, target, _, background, _ = numbered.value
+        for batch in batches:
+            pair, n, t = (c.to_numpy(zero_copy_only=False) for c in batch)
+            b, g = background[pair & _WORD], target[pair & _WORD]
+            out = [np.log(g / (g + t)), np.log((g + 1) / (g + t)), np.log((b + 1) / (b + n))]
+            yield pa.StructArray.from_arrays([pa.array(c) for c in out], names=["plain_loss", "target_loss", "background_loss"])
+
+    return repeated.select(F.col("h").alias("pair"), more("h", "n", "t").alias("l")).select("pair", "l.*")
+
 
+def _filter_places(pairs: np.ndarray) -> np.ndarray:
+    x = pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return (x >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
-def text_losses(texts: DataFrame, losses: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """(key, loss_target, loss_background): mean losses of each text of ``texts`` (text, key: the text's hash) that has words."""
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def pair_filter(repeated: DataFrame) -> np.ndarray:
+    """Bits (as 64-bit words) at the places of all ``repeated`` bigrams; of a fixed size."""
+    @F.arrow_udf("long")
+    def places(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for pairs in batches:
+            yield pa.array(_filter_places(pairs.to_numpy(zero_copy_only=False)))
+
+    at = repeated.select(places("h").alias("at"))
+    bits = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 AS int)))").alias("bits")).toArrow()  # 2^21 rows at most
+    out = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
+    out[bits.column("word").to_numpy()] = bits.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
+def text_losses(texts: DataFrame, model: Model, most: int = FREQUENT_PAIRS) -> DataFrame:
+    """(doc_id, n_tokens, loss_target, loss_background): mean losses of ``texts`` (doc_id, text, target); ``most``: bigrams whose counts are sent out."""
+    context = texts.sparkSession.sparkContext
+    numbered, pairs = model.numbered, model.bigrams.where("w IS NULL")
+    least = frequent_from(pairs, most)
+    held = pairs.where(F.col("n") >= least).select("h", "n", "t").toArrow()  # ``most`` rows
+    pair, n, t = (held.column(c).to_numpy() for c in ("h", "n", "t"))
+    order = np.argsort(pair, kind="stable")
+    pair, n, t = pair[order], n[order], t[order]
+    _, target, _, background, _ = numbered.value
+    frequent = context.broadcast((pair, -np.log(target[pair & _WORD] + t), -np.log(background[pair & _WORD] + n)))
+    repeated = pairs.where(F.col("n") < least)
+    bits = context.broadcast(pair_filter(repeated))
+    names = ["loss_target", "loss_background"]
+    keyed = texts.withColumn("key", F.xxhash64("text").bitwiseAND(F.lit(-2)).bitwiseOR(F.col("target").cast("long")))
+
+    def left_over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, maybe = numbered.value[0], bits.value
         for batch in _pieces(batches):
-            h, w, starts = _bigrams(batch.column(0))
+            distinct, codes, starts = _coded(batch.column(0))
             row = np.repeat(np.arange(batch.num_rows), np.diff(starts))
-            order, first, times = _distinct(w, h, row)
-            at = order[first]
-            yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(row[at])), pa.array(h[at]), pa.array(w[at]), pa.array(times, pa.int64())],
-                                             names=["key", "h", "w", "times"])
+            pair, both, h, w = _numbered_pairs(distinct, codes, starts, words)
+            place = _filter_places(pair)
+            asked = both & ((maybe[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+            asked[asked] = ~_found(pair[asked], frequent.value[0])[1]
+            for columns in ((pair[asked], row[asked]), (w[~both], h[~both], row[~both])):
+                order, first, times = _distinct(*columns)
+                at = order[first]
+                own = [pa.array(c[at], pa.int64()) for c in reversed(columns)]
+                own = own if len(own) > 2 else [*own, pa.nulls(len(at), pa.int64())]
+                yield pa.RecordBatch.from_arrays([batch.column(1).take(own[0]), *own[1:], pa.array(times, pa.int32())], names=["key", "h", "w", "times"])
+
+    rows = keyed.select("text", "key").mapInArrow(left_over, "key long, h long, w long, times int")
+    rows = rows.select("key", F.when(F.col("w").isNull(), F.col("h")).otherwise(F.xxhash64("h", "w")).alias("pair"), "times")
+    losses = store(rare_losses(model).unionByName(repeated_losses(repeated, numbered)), "lm-losses")
+    loss = F.when(F.col("key").bitwiseAND(F.lit(1)) == 1, F.col("target_loss")).otherwise(F.col("plain_loss"))
+    more = rows.join(losses, "pair").groupBy("key").agg(F.sum(F.col("times") * loss).alias("more_target"), F.sum(F.col("times") * F.col("background_loss")).alias("more_background"))
+    copies = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))  # equal texts have their rows joined once each
+    more = more.join(copies, "key").select("key", *[(F.col(c) / F.col("copies")).alias(c) for c in ("more_target", "more_background")])
 
-    rows = texts.select("text", "key").mapInArrow(explode, "key long, h long, w long, times long").select("key", F.xxhash64("h", "w").alias("pair"), "times")
-    least = frequent_from(losses, most)
-    names = ["loss_target", "loss_background"]
-    frequent = F.broadcast(losses.where(F.col("n") >= least).select("pair", *names))
-    sums = [F.sum("times").alias("times"), *[F.sum(F.col("times") * F.col(c)).alias(c) for c in names]]
-    rows = rows.join(frequent, "pair", "left")
-    parts = rows.where(F.col(names[0]).isNotNull()).groupBy("key").agg(*sums)
-    rare = losses.where(F.col("n") < least).select("pair", *names)
-    if least > 1:
-        parts = parts.union(rows.where(F.col(names[0]).isNull()).drop(*names).join(rare, "pair").groupBy("key").agg(*sums))
-    total = parts.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("times", *names)])
-    return total.select("key", *[(F.col(c) / F.col("times")).alias(c) for c in names])
-
-
-def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    vocabulary_size: int | None = None, bits: int | None = None, mu: float = MU) -> DataFrame:
+    @F.arrow_udf("struct<n_tokens: long, loss_target: double, loss_background: double>")
+    def sums(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        words, target, target_context, background, background_context = numbered.value
+        pairs, frequent_target, frequent_background = frequent.value
+        for batch in batches:
+            out = [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0))]
+            for piece in text_pieces(pa.RecordBatch.from_arrays(list(batch), names=["text", "target"]), 0, PIECE_BYTES):
+                distinct, codes, starts = _coded(piece.column(0))
+                per = np.diff(starts)
+                flags = np.repeat(_flags(piece), per)
+                pair, both, _, _ = _numbered_pairs(distinct, codes, starts, words)
+                own, pair = pair[both] & _WORD, pair[both]
+                at, known = _found(pair, pairs)
+                both_losses = []
+                for p, c, f, once in ((target, target_context, frequent_target, flags[both]), (background, background_context, frequent_background, 1)):
+                    loss = np.zeros(len(codes))
+                    loss[both] = (np.where(known, f[at], -np.log(p[own] + once)) if len(pairs) else -np.log(p[own] + once)) + c[pair >> 32]
+                    both_losses.append(np.diff(np.append(0.0, np.cumsum(loss))[starts]))
+                out.append((per, *both_losses))
+            yield pa.StructArray.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["n_tokens", *names])
+
+    rows = keyed.select("doc_id", "key", sums("text", "target").alias("l")).join(broadcast_if_small(store(more, "lm-texts")), "key", "left")
+    total = [F.col(f"l.{c}") + F.coalesce("more" + c[4:], F.lit(0.0)) for c in names]
+    return rows.select("doc_id", "l.n_tokens", *[F.when(F.col("l.n_tokens") > 0, x / F.col("l.n_tokens")).otherwise(F.lit(0.0)).alias(c) for x, c in zip(total, names)])
+
+
+def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", mu: float = MU) -> DataFrame:
     """One row per document: doc_id, n_tokens, loss_target, loss_background (nats per token), score (their difference).
 
     ``target_ids``: doc_id of the target documents; repeats and nulls in it don't matter. Texts without words, null ones
@@ -255,46 +329,11 @@ def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_i
     bounded_batches(docs.sparkSession)
     ids = target_ids.select(F.col("doc_id").alias("__id")).where("__id IS NOT NULL").distinct().withColumn("__target", F.lit(True))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    marked = texts.join(broadcast_if_small(store(ids, "lm-target")), F.col("doc_id") == F.col("__id"), "left").select("text", F.coalesce("__target", F.lit(False)).alias("target"))
-    if vocabulary_size is not None or bits is not None:
-        rows = _bounded_losses(docs, texts, marked, text_col, VOCABULARY if vocabulary_size is None else vocabulary_size,
-                               BIGRAM_BITS if bits is None else bits, mu)
-        return rows.withColumn("score", F.col("loss_target") - F.col("loss_background"))
-
-    @F.arrow_udf("long")
-    def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array(np.diff(split_words(batch)[1]))
-
-    losses = store(bigram_losses(store(bigram_counts(marked), "lm-bigrams"), mu), "lm-losses")
-    keyed = texts.withColumn("key", F.xxhash64("text"))
-    found = broadcast_if_small(store(text_losses(keyed, losses), "lm-texts"))
-    rows = keyed.select("doc_id", "key", tokens("text").alias("n_tokens")).join(found, "key", "left")
-    rows = rows.select("doc_id", "n_tokens", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("loss_target", "loss_background")])
+    marked = texts.join(broadcast_if_small(store(ids, "lm-target")), F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", F.coalesce("__target", F.lit(False)).alias("target"))
+    rows = text_losses(marked, build_model(marked.select("text", "target"), mu, FREQUENT_WORDS))
     return rows.withColumn("score", F.col("loss_target") - F.col("loss_background"))
 
 
-def _bounded_losses(docs: DataFrame, texts: DataFrame, marked: DataFrame, text_col: str, vocabulary_size: int, bits: int, mu: float) -> DataFrame:
-    words = pa.array(build_vocabulary(docs, text_col, vocabulary_size), pa.large_string())
-    background, target = count_ngrams(marked, words, bits)
-
-    @F.arrow_udf("struct<n_tokens: long, loss_target: double, loss_background: double>")
-    def losses(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            found, starts = split_words(batch)
-            own = _numbers(found, words)
-            before = _contexts(own, starts)
-            n = np.diff(starts)
-            out = [pa.array(n)]
-            for model in (target, background):
-                loss = np.append(-np.log(model.probabilities(before, own, bits, mu)), 0.0)
-                total = np.add.reduceat(loss, starts[:-1]) if len(n) else np.zeros(0)  # texts without words: set to 0 below
-                out.append(pa.array(np.where(n > 0, total / np.maximum(n, 1), 0.0)))
-            yield pa.StructArray.from_arrays(out, names=["n_tokens", "loss_target", "loss_background"])
-
-    return texts.select("doc_id", losses("text").alias("l")).select("doc_id", "l.*")
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return score_documents(table(spark, sf_dir, "documents"), good)
