@@ -62,6 +62,11 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Have Spark delete a query's shuffle files when the query ends; what later steps need is stored, so nothing reads them again."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def text_pieces(batch: pa.RecordBatch, column: str | int, most: int) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about ``most`` bytes of text in ``column``, or one row."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))

@@ -37,7 +37,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm.common import bounded_batches, broadcast_if_small, frequent_from, store, table, text_pieces
+from retentia.llm.common import bounded_batches, broadcast_if_small, free_shuffles, frequent_from, store, table, text_pieces
 
 MIN_COUNT = 2
 MU = 20.0
@@ -193,7 +193,7 @@ def build_model(rows: DataFrame, mu: float = MU, most: int = FREQUENT_WORDS) ->
 
 
 def rare_losses(model: Model) -> DataFrame:
-    """(pair, plain_loss, target_loss, background_loss) of the bigrams that aren't of two numbered words; whole losses."""
+    """(pair, whole, x, y) of the bigrams that aren't of two numbered words: whole losses under the target and the background model."""
     total, mu = model.total, model.mu
     bigrams = model.bigrams.where("w IS NOT NULL")
     known = model.words.where((F.col("n") >= MIN_COUNT) | (F.col("word") == START))
@@ -204,6 +204,7 @@ def rare_losses(model: Model) -> DataFrame:
         F.xxhash64("h", "w").alias("pair"), "n", "t", F.when(F.col("kh"), F.col("h")).otherwise(UNKNOWN).alias("h"), F.when(F.col("kw"), F.col("w")).otherwise(UNKNOWN).alias("w"),
         F.coalesce("wn", F.lit(total.unn)).alias("wn"), F.coalesce("wt", F.lit(total.unt)).alias("wt"),
         F.coalesce("hn", F.lit(total.uncn)).alias("hn"), F.coalesce("ht", F.lit(total.unct)).alias("ht"))
+    rows = store(rows, "lm-rare")
     strange = (F.col("h") == UNKNOWN) | (F.col("w") == UNKNOWN)
     # a bigram that has an unknown word is counted with all others of its kind
     kinds = rows.where(strange).groupBy("h", "w").agg(F.sum("n").alias("kn"), F.sum("t").alias("kt"))
@@ -214,23 +215,7 @@ def rare_losses(model: Model) -> DataFrame:
         p = (F.col(word) + 1.0) / float(size + total.vocabulary + 2)
         return -F.log((F.col(pairs) + mu * p) / (F.col(context) + mu))
 
-    target = loss("kt", "wt", "ht", total.t)
-    return rows.select("pair", target.alias("plain_loss"), target.alias("target_loss"), loss("kn", "wn", "hn", total.n).alias("background_loss"))
-
-
-def repeated_losses(repeated: DataFrame, numbered: Broadcast) -> DataFrame:
-    """(pair, plain_loss, target_loss, background_loss) of ``repeated`` bigrams (h, n, t) of two numbered words: what their counts add to
-    the loss as if they occurred once, in a document that is not of the target, in one that is, and under the background model."""
-    @F.arrow_udf("struct<plain_loss: double, target_loss: double, background_loss: double>")
-    def more(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        _, target, _, background, _ = numbered.value
-        for batch in batches:
-            pair, n, t = (c.to_numpy(zero_copy_only=False) for c in batch)
-            b, g = background[pair & _WORD], target[pair & _WORD]
-            out = [np.log(g / (g + t)), np.log((g + 1) / (g + t)), np.log((b + 1) / (b + n))]
-            yield pa.StructArray.from_arrays([pa.array(c) for c in out], names=["plain_loss", "target_loss", "background_loss"])
-
-    return repeated.select(F.col("h").alias("pair"), more("h", "n", "t").alias("l")).select("pair", "l.*")
+    return rows.select("pair", F.lit(True).alias("whole"), loss("kt", "wt", "ht", total.t).alias("x"), loss("kn", "wn", "hn", total.n).alias("y"))
 
 
 def _filter_places(pairs: np.ndarray) -> np.ndarray:
@@ -287,9 +272,24 @@ def text_losses(texts: DataFrame, model: Model, most: int = FREQUENT_PAIRS) -> D
 
     rows = keyed.select("text", "key").mapInArrow(left_over, "key long, h long, w long, times int")
     rows = rows.select("key", F.when(F.col("w").isNull(), F.col("h")).otherwise(F.xxhash64("h", "w")).alias("pair"), "times")
-    losses = store(rare_losses(model).unionByName(repeated_losses(repeated, numbered)), "lm-losses")
-    loss = F.when(F.col("key").bitwiseAND(F.lit(1)) == 1, F.col("target_loss")).otherwise(F.col("plain_loss"))
-    more = rows.join(losses, "pair").groupBy("key").agg(F.sum(F.col("times") * loss).alias("more_target"), F.sum(F.col("times") * F.col("background_loss")).alias("more_background"))
+    # repeated bigrams go into the join by their counts, which are narrower than what they add to the losses
+    counts = repeated.select(F.col("h").alias("pair"), F.lit(False).alias("whole"), F.col("t").cast("double").alias("x"), F.col("n").cast("double").alias("y"))
+    counts = store(rare_losses(model), "lm-losses").union(counts)
+
+    @F.arrow_udf("struct<target: double, background: double>")
+    def losses(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        """Whole losses as they are; of repeated bigrams what their counts add to the losses as if they occurred once."""
+        _, target, _, background, _ = numbered.value
+        for batch in batches:
+            key, pair, whole, x, y, times = (c.to_numpy(zero_copy_only=False) for c in batch)
+            w = np.where(whole, 0, pair) & _WORD
+            once, x, y = key & 1, np.where(whole, 0, x), np.where(whole, 0, y)
+            out = [np.where(whole, l, np.log((p[w] + o) / (p[w] + c))) * times for p, o, c, l in (
+                (target, once, x, batch[3].to_numpy()), (background, 1, y, batch[4].to_numpy()))]
+            yield pa.StructArray.from_arrays([pa.array(c) for c in out], names=["target", "background"])
+
+    more = rows.join(counts, "pair").select("key", losses("key", "pair", "whole", "x", "y", "times").alias("l"))
+    more = more.groupBy("key").agg(F.sum("l.target").alias("more_target"), F.sum("l.background").alias("more_background"))
     copies = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))  # equal texts have their rows joined once each
     more = more.join(copies, "key").select("key", *[(F.col(c) / F.col("copies")).alias(c) for c in ("more_target", "more_background")])
 
@@ -327,6 +327,7 @@ def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_i
     document the target model is the smoothed uniform one. An empty table gives no rows.
     """
     bounded_batches(docs.sparkSession)
+    free_shuffles(docs.sparkSession)
     ids = target_ids.select(F.col("doc_id").alias("__id")).where("__id IS NOT NULL").distinct().withColumn("__target", F.lit(True))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     marked = texts.join(broadcast_if_small(store(ids, "lm-target")), F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", F.coalesce("__target", F.lit(False)).alias("target"))
