@@ -187,6 +187,8 @@ def build_model(rows: DataFrame, mu: float = MU, most: int = FREQUENT_WORDS) ->
     for own, context, size in ((t, ct, total.t), (n, cn, total.n)):
         arrays.append(np.append(1.0, mu * (own[order] + 1.0) / float(size + total.vocabulary + 2)))
         arrays.append(np.log(np.append(context[word == START].sum(), context[order]) + mu))
+    del held, word, n, t, cn, ct
+    pa.default_memory_pool().release_unused()  # the driver keeps what it sends, and no more
     numbered = rows.sparkSession.sparkContext.broadcast(tuple(arrays))
     bigrams = bigram_counts(rows, numbered).where(F.col("w").isNotNull() | (F.col("n") > 1))
     return Model(words, store(bigrams, "lm-bigrams"), total, numbered, mu)
@@ -235,6 +237,8 @@ def pair_filter(repeated: DataFrame) -> np.ndarray:
     bits = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 AS int)))").alias("bits")).toArrow()  # 2^21 rows at most
     out = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
     out[bits.column("word").to_numpy()] = bits.column("bits").to_numpy()
+    del bits
+    pa.default_memory_pool().release_unused()
     return out.view(np.uint64)
 
 
@@ -248,7 +252,9 @@ def text_losses(texts: DataFrame, model: Model, most: int = FREQUENT_PAIRS) -> D
     order = np.argsort(pair, kind="stable")
     pair, n, t = pair[order], n[order], t[order]
     _, target, _, background, _ = numbered.value
+    del held
     frequent = context.broadcast((pair, -np.log(target[pair & _WORD] + t), -np.log(background[pair & _WORD] + n)))
+    del pair, n, t, order
     repeated = pairs.where(F.col("n") < least)
     bits = context.broadcast(pair_filter(repeated))
     names = ["loss_target", "loss_background"]
