@@ -50,6 +50,9 @@ FILTER_BITS = 27
 PIECE_BYTES = 4 << 20
 START, UNKNOWN = 0, 1  # in place of a word's hash
 _WORD = np.int64((1 << 32) - 1)
+#: Bytes up to which words are hashed together.
+LONG_WORD = 256
+_MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -70,12 +73,33 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from text_pieces(batch, 0, PIECE_BYTES)
 
 
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of ``words`` (large_binary, no nulls): eight bytes of all words are mixed in at a time; words beyond ``LONG_WORD`` bytes singly."""
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int64, words.offset + len(words) + 1)[words.offset:] if len(words) else np.zeros(1, np.int64)
+    eights = np.lib.stride_tricks.sliding_window_view(np.append(np.frombuffer(data or b"", np.uint8), np.zeros(8, np.uint8)), 8)
+    sizes = np.diff(ends)
+    out = sizes.astype(np.uint64) * _MIX[0]
+    rows = np.flatnonzero(sizes <= LONG_WORD)
+    for done in range(0, LONG_WORD, 8):
+        rows = rows[sizes[rows] > done]
+        if not len(rows):
+            break
+        unused = np.maximum(done + 8 - sizes[rows], 0).astype(np.uint64) * np.uint64(8)
+        part = eights[ends[rows] + done].view("<u8").ravel() & (np.uint64(2 ** 64 - 1) >> unused)
+        mixed = (out[rows] ^ part) * _MIX[0]
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * _MIX[1]
+        out[rows] = mixed ^ (mixed >> np.uint64(29))
+    for i in np.flatnonzero(sizes > LONG_WORD):
+        out[i] = xxhash.xxh64_intdigest(words[int(i)].as_buffer())
+    return out.view(np.int64)
+
+
 def _coded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the distinct words; of each word its place among them; each text's first word's index."""
     words, starts = split_words(texts)
     coded = words.cast(pa.large_binary()).dictionary_encode()
-    distinct = np.array([xxhash.xxh64_intdigest(x) for x in coded.dictionary.to_pylist()], dtype=np.uint64).view(np.int64)
-    return distinct, coded.indices.to_numpy(zero_copy_only=False), starts
+    return word_hashes(coded.dictionary), coded.indices.to_numpy(zero_copy_only=False), starts
 
 
 def _contexts(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -91,7 +115,7 @@ def _flags(batch: pa.RecordBatch) -> np.ndarray:
 
 def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The rows' order by ``columns``; places in it where a new row begins, and the number of rows equal to it."""
-    order = np.lexsort(columns) if len(columns) > 1 else np.argsort(columns[0], kind="stable")
+    order = np.lexsort(columns) if len(columns) > 1 else np.argsort(columns[0])
     change = np.zeros(len(order), dtype=bool)
     change[:1] = True
     for c in columns:
@@ -104,7 +128,9 @@ def _found(values: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Places of ``values`` in ``known`` (ascending), and whether they are there."""
     if not len(known):
         return np.zeros(len(values), np.int64), np.zeros(len(values), dtype=bool)
-    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    order = np.argsort(values)  # neighbours are found next to each other, which is faster than jumping about
+    at = np.empty(len(values), np.int64)
+    at[order] = np.minimum(np.searchsorted(known, values[order]), len(known) - 1)
     return at, known[at] == values
 
 
@@ -221,8 +247,8 @@ def rare_losses(model: Model) -> DataFrame:
 
 
 def _filter_places(pairs: np.ndarray) -> np.ndarray:
-    x = pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    x = pairs.astype(np.uint64) * _MIX[0]
+    x = (x ^ (x >> np.uint64(32))) * _MIX[1]
     return (x >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 

@@ -153,3 +153,16 @@ def test_lm_words_of_sliced_arrays():
     assert L.split_words(many.slice(10, 20))[0].to_pylist() == " ".join(many.to_pylist()[10:30]).split()
     batch = pa.RecordBatch.from_arrays([pa.array([f"a{i} b{i}" for i in range(9)] + [None])], names=["text"])
     assert sum((L.split_words(b.column(0))[0].to_pylist() for b in L._pieces([batch.slice(3)])), []) == [f"{c}{i}" for i in range(3, 9) for c in "ab"]
+
+
+def test_lm_word_hashes():
+    """A word's hash depends on its bytes alone, wherever it stands; no two of many words share one."""
+    words = ["", "a", "aa", "a" * 8, "a" * 9, "a" * 16, "\0", "\0\0", "a\0", "\u00e9", "x" * 255, "x" * 256, "x" * 257, "x" * 100_000 + "y", "x" * 100_000 + "z"]
+    words += [f"w{i}" for i in range(50_000)] + [f"a longer word {i} with an end" for i in range(50_000)]
+    column = pa.array(words, pa.large_string()).cast(pa.large_binary())
+    hashes = L.word_hashes(column)
+    assert hashes.dtype == np.int64 and len(set(hashes.tolist())) == len(words)
+    order = random.Random(8).sample(range(len(words)), 3_000)
+    assert L.word_hashes(column.take(pa.array(order))).tolist() == hashes[order].tolist()
+    assert L.word_hashes(column.slice(3, 40)).tolist() == hashes[3:43].tolist()
+    assert L.word_hashes(column.slice(0, 0)).tolist() == [] == L.word_hashes(pa.array([], pa.large_binary())).tolist()
