@@ -269,18 +269,18 @@ def pair_filter(repeated: DataFrame) -> np.ndarray:
 
 
 def text_losses(texts: DataFrame, model: Model, most: int = FREQUENT_PAIRS) -> DataFrame:
-    """(doc_id, n_tokens, loss_target, loss_background): mean losses of ``texts`` (doc_id, text, target); ``most``: bigrams whose counts are sent out."""
+    """(doc_id, n_tokens, loss_target, loss_background): mean losses of ``texts`` (doc_id, text, target); ``most``: bigrams whose counts are sent out.
+
+    The rows returned come from stored tables alone, so they need nothing that was sent out.
+    """
     context = texts.sparkSession.sparkContext
     numbered, pairs = model.numbered, model.bigrams.where("w IS NULL")
     least = frequent_from(pairs, most)
     held = pairs.where(F.col("n") >= least).select("h", "n", "t").toArrow()  # ``most`` rows
     pair, n, t = (held.column(c).to_numpy() for c in ("h", "n", "t"))
     order = np.argsort(pair, kind="stable")
-    pair, n, t = pair[order], n[order], t[order]
-    _, target, _, background, _ = numbered.value
-    del held
-    frequent = context.broadcast((pair, -np.log(target[pair & _WORD] + t), -np.log(background[pair & _WORD] + n)))
-    del pair, n, t, order
+    frequent = context.broadcast((pair[order], t[order], n[order]))
+    del held, pair, n, t, order
     repeated = pairs.where(F.col("n") < least)
     bits = context.broadcast(pair_filter(repeated))
     names = ["loss_target", "loss_background"]
@@ -328,7 +328,7 @@ def text_losses(texts: DataFrame, model: Model, most: int = FREQUENT_PAIRS) -> D
     @F.arrow_udf("struct<n_tokens: long, loss_target: double, loss_background: double>")
     def sums(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         words, target, target_context, background, background_context = numbered.value
-        pairs, frequent_target, frequent_background = frequent.value
+        pairs, in_target, in_all = frequent.value
         for batch in batches:
             out = [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0))]
             for piece in text_pieces(pa.RecordBatch.from_arrays(list(batch), names=["text", "target"]), 0, PIECE_BYTES):
@@ -339,14 +339,17 @@ def text_losses(texts: DataFrame, model: Model, most: int = FREQUENT_PAIRS) -> D
                 own, pair = pair[both] & _WORD, pair[both]
                 at, known = _found(pair, pairs)
                 both_losses = []
-                for p, c, f, once in ((target, target_context, frequent_target, flags[both]), (background, background_context, frequent_background, 1)):
+                for p, c, f, once in ((target, target_context, in_target, flags[both]), (background, background_context, in_all, 1)):
                     loss = np.zeros(len(codes))
-                    loss[both] = (np.where(known, f[at], -np.log(p[own] + once)) if len(pairs) else -np.log(p[own] + once)) + c[pair >> 32]
+                    loss[both] = c[pair >> 32] - np.log(p[own] + (np.where(known, f[at], once) if len(pairs) else once))
                     both_losses.append(np.diff(np.append(0.0, np.cumsum(loss))[starts]))
                 out.append((per, *both_losses))
             yield pa.StructArray.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["n_tokens", *names])
 
-    rows = keyed.select("doc_id", "key", sums("text", "target").alias("l")).join(broadcast_if_small(store(more, "lm-texts")), "key", "left")
+    more, rows = store(more, "lm-texts"), store(keyed.select("doc_id", "key", sums("text", "target").alias("l")), "lm-sums")
+    for sent in (bits, frequent):  # all that needs them is stored
+        sent.destroy()
+    rows = rows.join(broadcast_if_small(more), "key", "left")
     total = [F.col(f"l.{c}") + F.coalesce("more" + c[4:], F.lit(0.0)) for c in names]
     return rows.select("doc_id", "l.n_tokens", *[F.when(F.col("l.n_tokens") > 0, x / F.col("l.n_tokens")).otherwise(F.lit(0.0)).alias(c) for x, c in zip(total, names)])
 
@@ -363,7 +366,9 @@ def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_i
     ids = target_ids.select(F.col("doc_id").alias("__id")).where("__id IS NOT NULL").distinct().withColumn("__target", F.lit(True))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     marked = texts.join(broadcast_if_small(store(ids, "lm-target")), F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", F.coalesce("__target", F.lit(False)).alias("target"))
-    rows = text_losses(marked, build_model(marked.select("text", "target"), mu, FREQUENT_WORDS))
+    model = build_model(marked.select("text", "target"), mu, FREQUENT_WORDS)
+    rows = text_losses(marked, model)
+    model.numbered.destroy()
     return rows.withColumn("score", F.col("loss_target") - F.col("loss_background"))
 
 
