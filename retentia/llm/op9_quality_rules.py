@@ -89,8 +89,8 @@ def judge_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per input row: (row struct of all input columns, base counts, clean_text, base_failed, kept).
 
     ``clean_text`` is the text without the lines above the limits (the text itself if there are none). Null text
-    has no words, fails the base rules and stays null. Repeated rows are judged alike and count once in line
-    frequencies. An empty table gives no rows.
+    has no words, fails the base rules, stays null and is none of its host's texts; empty text is one. Documents with a null
+    host share one host. Repeated rows are judged alike and count once in line frequencies. An empty table gives no rows.
     """
     bounded_batches(docs.sparkSession)
     frequent = frequent_lines(docs, host_col, text_col, min_docs, share)
@@ -130,11 +130,11 @@ normal AS (SELECT doc_id, source, text, line, trim(translate(regexp_replace(line
                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS norm FROM each_line),
 worded AS (SELECT * FROM normal WHERE norm <> ''),
 dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM worded GROUP BY doc_id),
-hosts AS (SELECT source, count(DISTINCT text) AS n_host FROM docs GROUP BY source),
+hosts AS (SELECT source, count(DISTINCT text) AS n_host FROM documents GROUP BY source),
 freq AS (SELECT source, norm, count(DISTINCT text) AS n FROM worded GROUP BY source, norm),
-over_limit AS (SELECT f.source, f.norm FROM freq f JOIN hosts h USING (source) WHERE f.n > 20 AND f.n > 0.05 * h.n_host),
+over_limit AS (SELECT f.source, f.norm FROM freq f JOIN hosts h ON f.source IS NOT DISTINCT FROM h.source WHERE f.n > 20 AND f.n > 0.05 * h.n_host),
 cut AS (SELECT w.doc_id, sum(len(string_split(w.norm, ' '))) AS n_cut
-        FROM worded w JOIN over_limit o ON w.source = o.source AND w.norm = o.norm GROUP BY w.doc_id),
+        FROM worded w JOIN over_limit o ON w.source IS NOT DISTINCT FROM o.source AND w.norm = o.norm GROUP BY w.doc_id),
 base AS (SELECT s.doc_id, CAST(len(s.words) AS BIGINT) AS n_words,
                 CAST(length(array_to_string(s.words, '')) AS BIGINT) AS word_chars,
                 CAST(length(regexp_replace(s.text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,

@@ -111,10 +111,26 @@ def test_quality_matches_plain_rules(spark):
 
 def test_quality_repeated_rows_and_oracle(spark, tmp_path):
     rows = boilerplate()
-    unique = write(tmp_path, documents=documents(spark, [r for r in rows if r[2] is not None and r[1] is not None]))
+    unique = write(tmp_path, documents=documents(spark, rows))
     assert rows_of(Q.query(spark, unique)) == oracle(Q.ORACLE_SQL, unique)
     twice = Q.judge_documents(documents(spark, rows + [(None, rows[0][1], "big")] * 2 + rows)).collect()
     want = brute.quality(rows)
     assert all((r.kept == want[r.doc_id][2]) for r in twice if r.doc_id is not None) and len(twice) == 2 * len(rows) + 2
     empty = write(tmp_path / "e", documents=documents(spark, rows).limit(0))
     assert Q.query(spark, empty).count() == 0
+
+
+def test_quality_null_hosts_and_null_texts(spark, tmp_path):
+    """Rows without a host share one, whose common line goes; null texts are no texts, which decides at the border of the share."""
+    rng = random.Random(12)
+    common = "this line of fourteen words stands in twenty one documents of the one host"
+    for empty, over in ((None, True), ("", False)):
+        rows = [(d, " ".join(f"w{rng.randrange(10**6)}" for _ in range(12)) + ("\n" + common if d < 21 else ""), None) for d in range(419)]
+        rows += [(1000 + d, empty, None) for d in range(5)]  # 419 texts: 21 > 20.95; with an empty one as well, 21 = 0.05 * 420
+        path = write(tmp_path / str(over), documents=documents(spark, rows))
+        got = rows_of(Q.query(spark, path))
+        assert got == oracle(Q.ORACLE_SQL, path)
+        want = brute.quality(rows)
+        judged = {r.doc_id: r.kept for r in Q.judge_documents(documents(spark, rows)).collect()}
+        assert judged == {d: want[d][2] for d in judged}
+        assert [judged[d] for d in range(21)] == [not over] * 21 and all(judged[d] for d in range(21, 419))
