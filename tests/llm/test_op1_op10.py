@@ -166,3 +166,60 @@ def test_lm_word_hashes():
     assert L.word_hashes(column.take(pa.array(order))).tolist() == hashes[order].tolist()
     assert L.word_hashes(column.slice(3, 40)).tolist() == hashes[3:43].tolist()
     assert L.word_hashes(column.slice(0, 0)).tolist() == [] == L.word_hashes(pa.array([], pa.large_binary())).tolist()
+
+
+def plain_train(positive, unlabelled, prior):
+    """nnPU by loops over documents; also how often the second part of the risk was negative."""
+    n_p, n_u = len(positive), len(unlabelled)
+    kept = []
+    for f in sorted({int(f) for d in positive for f in d}):
+        a, b = sum(f in d for d in positive), sum(f in d for d in unlabelled)
+        share = (a + b) / (n_p + n_u)
+        error = math.sqrt(max(share * (1 - share), 1e-9) * (1 / n_p + 1 / n_u))
+        if (a / n_p - b / n_u) / error > T.MIN_Z and a >= max(3, 0.004 * n_p):
+            kept.append(f)
+    w = {f: 0.0 for f in [*kept, -1]}  # -1: the bias
+    mean, square, below = dict.fromkeys(w, 0.0), dict.fromkeys(w, 0.0), 0
+    docs_p, docs_u = ([[f for f in d if f in w] + [-1] for d in docs] for docs in (positive, unlabelled))
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+    for step in range(1, T.STEPS + 1):
+        g_p, g_u = ([sum(w[f] for f in d) for d in docs] for docs in (docs_p, docs_u))
+        second = sum(math.log1p(math.exp(g)) for g in g_u) / n_u - prior * sum(math.log1p(math.exp(g)) for g in g_p) / n_p
+        slope = {f: T.L2 * v if f >= 0 else 0.0 for f, v in w.items()}
+        sign = 1 if second >= 0 else -1  # climb back on the second part alone
+        for d, g in zip(docs_p, g_p):
+            own = -sign * prior * sigmoid(g) / n_p - (prior * sigmoid(-g) / n_p if second >= 0 else 0)
+            for f in d:
+                slope[f] += own
+        for d, g in zip(docs_u, g_u):
+            for f in d:
+                slope[f] += sign * sigmoid(g) / n_u
+        below += second < 0
+        for f in w:
+            mean[f] = 0.9 * mean[f] + 0.1 * slope[f]
+            square[f] = 0.999 * square[f] + 0.001 * slope[f] ** 2
+            w[f] -= T.RATE * mean[f] / (1 - 0.9 ** step) / (math.sqrt(square[f] / (1 - 0.999 ** step)) + 1e-8)
+    return kept, [w[f] for f in kept], w[-1], below
+
+
+@pytest.mark.parametrize("prior,every,negative", [(0.02, 5, False), (0.8, 5, True), (0.1, 40, True)])
+def test_training_matches_a_plain_version(prior, every, negative):
+    """Both branches: with a prior above the share of U that looks toxic (one in ``every``), the corrected part becomes negative."""
+    rng = np.random.default_rng(3)
+    positive = [np.array(sorted({int(rng.integers(1, 4)), *rng.integers(10, 40, 4).tolist()}), dtype=np.int32) for _ in range(120)]
+    other = [np.array(sorted({*([1 + i % 3] if i % every == 0 else []), *rng.integers(10, 40, 4).tolist()}), dtype=np.int32) for i in range(300)]
+    kept, w, bias, below = plain_train([set(d.tolist()) for d in positive], [set(d.tolist()) for d in other], prior)
+    assert (below > 0) == negative and len(kept) >= 2
+    got = T.train(positive, other, prior)
+    assert got[0].tolist() == kept
+    assert [*got[1], got[2]] == pytest.approx([*w, bias], abs=1e-6)
+
+
+def test_toxicity_of_repeated_rows(spark):
+    rows, labels = toxic_corpus(600)
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = T.score_documents(documents(spark, [r[:2] for r in rows] * 2), lab).collect()
+    scores = {}
+    for r in got:
+        scores.setdefault(r.doc_id, []).append((r.held_out, r.score, r.predicted))
+    assert all(len(s) == 2 and s[0] == s[1] for s in scores.values()) and len(scores) == 600
