@@ -80,10 +80,11 @@ class Pipeline:
 
     def gold(self, st: DataFrame, sd: DataFrame) -> DataFrame:
         months = self._write("compras_mensuales", G.client_month_purchases(st))
-        g = G.gold_panel(months, G.client_month_returns(sd), self.sentinel)
+        parts = G.panel_partitions(months)
+        g = G.gold_panel(months, G.client_month_returns(sd), self.sentinel, parts)
         # Sorting each task's rows by month first lets the partitioned writer stream one month directory at a time.
         return self._write("gold_caracterizacion_mensual_clientes", g, partition_by="fecha_referencia",
-                           sort_within=["fecha_referencia", "cliente_id"])
+                           sort_within=["fecha_referencia", "cliente_id"], rebalance=parts is None)
 
     def churn_model(self, gold: DataFrame, model_id: str = "modelo_churn_xgboost"):
         training = self._write("datos_entrenamiento_churn", FT.training_set(gold))
