@@ -6,9 +6,9 @@ second-order objective: with G and H the sums of gradients and hessians of the l
     T(G) = sign(G) * max(|G| - l1, 0),   score = T(G)^2 / (H + l2),   leaf = -T(G) / (H + l2) * learning rate,
     gain = score(left) + score(right) - score(node),   and H of either side is at least ``min_tree_child_weight``.
 
-Training data are written once as Parquet: one byte per feature (its bin), label, class weight, split flag and a row hash. A level
-of a tree is one Spark job: a task computes the rows' margins under the trees so far, finds their nodes, and sums gradients
-and hessians per (node, feature, bin) with numpy; Spark adds the partial sums. Only histograms (nodes x features x
+Training data are written once as Parquet, in blocks of rows: one byte per feature (its bin), label, class weight, split flag and a row hash.
+A level of a tree is one Spark job: a task finds the rows' nodes, computes their margins under the trees so far, and sums gradients
+and hessians per (node, feature, bin) with numpy; Spark adds the partial sums. Evaluation rows have blocks of their own and are read once a tree. Only histograms (nodes x features x
 bins, whatever the rows) reach the driver, which picks the splits. A pass keeps no state but the trees, so a lost
 executor costs its tasks alone. The bins of a feature are cut at approximate quantiles, or at given edges.
 
@@ -40,6 +40,10 @@ PARAMS = dict(max_tree_depth=4, subsample=0.8, l1_reg=0.001, l2_reg=0.1, min_tre
               eval_fraction=0.2, max_iterations=20, learn_rate=0.3)
 MAX_BINS = 64
 MISSING = 255
+#: Rows from which on a block of the training data is closed.
+BLOCK_ROWS = 65_536
+#: Trees of at most so many inner nodes have a table from the outcomes of all their tests to the leaf.
+MOST_TESTS = 15
 NODE_SCHEMA = ("tree int, node int, feature string, threshold double, missing_left boolean, left int, right int, value double, "
                "gain double, cover double")
 
@@ -96,39 +100,58 @@ def quantile_edges(df: DataFrame, features: list[str], max_bins: int = MAX_BINS)
     """Ascending cut points of each feature, at most ``max_bins`` - 1, from one aggregation."""
     shares = [i / max_bins for i in range(1, max_bins)]
     value = {f: F.when(~F.isnan(F.col(f).cast("double")), F.col(f).cast("double")) for f in features}
-    row = df.agg(*[F.percentile_approx(value[f], shares, 10_000).alias(f"q{i}") for i, f in enumerate(features)],
+    # one task adds up the sketches of all others, so these are as many as the cluster has use for, not as the table has files
+    row = df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism).agg(*[F.percentile_approx(value[f], shares, 10_000).alias(f"q{i}") for i, f in enumerate(features)],
                  *[F.min(value[f]).alias(f"m{i}") for i, f in enumerate(features)]).first()
     # a cut at the least value would leave its left side empty
     return {f: sorted({float(e) for e in row[f"q{i}"] or [] if e > row[f"m{i}"]}) for i, f in enumerate(features)}
 
 
-def binned(df: DataFrame, edges: dict[str, list[float]], kept: list[str]) -> DataFrame:
-    """The columns ``kept`` and ``bins``: one byte per feature, the number of its edges that the value reaches (255: no value)."""
+def binned(df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
+    """Blocks of the rows of ``df`` (features, y, w, is_eval, row_hash), each all ``is_eval`` or not: ``n`` rows, and their columns as bytes.
+
+    ``bins`` has one byte per feature and row, feature by feature: the number of the feature's edges that the value reaches (255: no value).
+    """
     if any(len(e) >= MISSING for e in edges.values()):
         raise ValueError(f"a feature can have {MISSING - 1} edges at most")
     cuts = [np.array(e, dtype=float) for e in edges.values()]
     names = [f"x{i}" for i in range(len(cuts))]
-    rows = df.select(*kept, *[F.col(f).cast("double").alias(x) for f, x in zip(edges, names)])
+    rows = df.select("y", "w", "is_eval", "row_hash", *[F.col(f).cast("double").alias(x) for f, x in zip(edges, names)])
+    schema = pa.schema([("n", pa.int32()), ("is_eval", pa.bool_()), *[(c, pa.binary()) for c in ("bins", "y", "w", "row_hash")]])
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting = {False: [], True: []}
+
+        def block(held: bool) -> pa.RecordBatch:
+            columns = [np.concatenate(c, axis=-1) for c in zip(*waiting[held])]
+            waiting[held] = []
+            return pa.RecordBatch.from_arrays([pa.array([len(columns[1])], pa.int32()), pa.array([held]), *[pa.array([c.tobytes()], pa.binary()) for c in columns]], schema=schema)
+
         for batch in batches:
-            found = np.empty((batch.num_rows, len(cuts)), dtype=np.uint8)
+            found = np.empty((len(cuts), batch.num_rows), dtype=np.uint8)
             for i, cut in enumerate(cuts):
                 x = batch.column(names[i]).to_numpy(zero_copy_only=False)  # null is NaN here
-                found[:, i] = np.where(np.isnan(x), MISSING, np.searchsorted(cut, x, side="right"))
-            ends = pa.array(np.arange(batch.num_rows + 1) * len(cuts), pa.int32())
-            bins = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, ends.buffers()[1], pa.py_buffer(found.tobytes())])
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], bins], names=[*kept, "bins"])
+                found[i] = np.where(np.isnan(x), MISSING, np.searchsorted(cut, x, side="right"))
+            is_eval, *others = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("is_eval", "y", "w", "row_hash"))
+            for held in (False, True):
+                at = np.flatnonzero(is_eval == held)
+                if len(at):
+                    waiting[held].append([found.take(at, axis=1), *[c[at] for c in others]])
+                if sum(len(part[1]) for part in waiting[held]) >= BLOCK_ROWS:
+                    yield block(held)
+        for held in (False, True):
+            if waiting[held]:
+                yield block(held)
 
-    return rows.mapInArrow(code, ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept) + ", bins binary")
+    return rows.mapInArrow(code, "n int, is_eval boolean, bins binary, y binary, w binary, row_hash binary")
 
 
 # --------------------------------------------------------------------------------------------------------- trees
 class _Flat:
-    """Trees as arrays, for numpy: which leaf value or node each row of bins reaches."""
+    """Trees as arrays, for numpy: which leaf value or node each row of bins ([feature, row]) reaches."""
 
     def __init__(self, trees: list[dict[int, Node]], features: list[str], edges: dict[str, list[float]]):
-        self.trees = []
+        self.trees, self.tables = [], {}
         for tree in trees:
             ids = sorted(tree)
             at = {n: i for i, n in enumerate(ids)}
@@ -140,20 +163,47 @@ class _Flat:
                 np.array([bool(n.missing_left) for n in nodes]), np.array([at.get(n.left, 0) for n in nodes]), np.array([at.get(n.right, 0) for n in nodes]),
                 np.array([n.value or 0.0 for n in nodes])))
 
-    def places(self, k: int, bins: np.ndarray) -> np.ndarray:
-        ids, inner, feature, edge, missing_left, left, right, _ = self.trees[k]
-        at, rows = np.zeros(len(bins), dtype=np.int64), np.arange(len(bins))
+    def _walk(self, k: int, n: int, goes_left) -> np.ndarray:
+        """The node that each of ``n`` rows ends in; ``goes_left`` tells for the nodes where the rows are."""
+        inner, left, right = self.trees[k][1], *self.trees[k][5:7]
+        at = np.zeros(n, dtype=np.int64)
         while inner[at].any():
-            code = bins[rows, feature[at]]
-            goes_left = np.where(code == MISSING, missing_left[at], code <= edge[at])
-            at = np.where(inner[at], np.where(goes_left, left[at], right[at]), at)
+            at = np.where(inner[at], np.where(goes_left(at), left[at], right[at]), at)
         return at
 
-    def nodes(self, k: int, bins: np.ndarray) -> np.ndarray:
-        return self.trees[k][0][self.places(k, bins)]
+    def _table(self, k: int) -> np.ndarray:
+        """The node reached, by the outcomes of the tree's tests as the bits of a number."""
+        if k not in self.tables:
+            inner = self.trees[k][1]
+            bit, codes = np.cumsum(inner) - inner, np.arange(1 << int(inner.sum()))
+            self.tables[k] = self._walk(k, len(codes), lambda at: codes >> bit[at] & 1 > 0)
+        return self.tables[k]
+
+    def reach(self, k: int, bins: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """``value`` (one per node of tree ``k``) of the node that each row reaches."""
+        _, inner, feature, edge, missing_left, *_ = self.trees[k]
+        n, tests = bins.shape[1], np.flatnonzero(inner)
+        if not len(tests):
+            return np.full(n, value[0])
+        if len(tests) > MOST_TESTS:
+            rows = np.arange(n)
+
+            def goes_left(at):
+                code = bins[feature[at], rows]
+                return np.where(code == MISSING, missing_left[at], code <= edge[at])
+
+            return value[self._walk(k, n, goes_left)]
+        outcomes = np.zeros((2, n), dtype=np.uint8)
+        for i, t in enumerate(tests):
+            x, e = bins[feature[t]], int(edge[t])
+            # a missing value is 255, beyond every edge; one more makes it 0, below every edge
+            test = (x + np.uint8(1) <= e + 1 if missing_left[t] else x <= e).view(np.uint8)
+            outcomes[i // 8] |= np.left_shift(test, i % 8, out=test)
+        code = outcomes[0] if len(tests) <= 8 else outcomes[1].astype(np.uint16) << np.uint16(8) | outcomes[0]
+        return value[self._table(k)].take(code)
 
     def margins(self, bins: np.ndarray, n: int) -> np.ndarray:
-        return sum((self.trees[k][-1][self.places(k, bins)] for k in range(n)), np.zeros(len(bins)))
+        return sum((self.reach(k, bins, self.trees[k][-1]) for k in range(n)), np.zeros(bins.shape[1]))
 
 
 def _sampled(row_hash: np.ndarray, tree: int, share: float) -> np.ndarray:
@@ -168,34 +218,39 @@ def _sampled(row_hash: np.ndarray, tree: int, share: float) -> np.ndarray:
 
 def histograms(rows: DataFrame, trees: list[dict[int, Node]], growing: dict[int, Node], open_nodes: list[int], features: list[str],
                edges: dict[str, list[float]], subsample: float) -> tuple[np.ndarray, float | None]:
-    """(gradients and hessians as [open node, feature, bin, 2], mean loss of the evaluation rows under ``trees``)."""
+    """(gradients and hessians as [open node, feature, bin, 2], mean loss of the evaluation rows under ``trees``; None below the root)."""
     done, n_features, slots = len(trees), len(features), len(open_nodes)
     flat = _Flat([*trees, growing] if open_nodes else trees, features, edges)
+    # the loss is that of the trees before: the first level tells it
+    rows = rows if open_nodes == [0] else rows.where("NOT is_eval" if open_nodes else "is_eval")
+    slot_of = np.full(len(flat.trees[done][0]), slots) if open_nodes else None  # the others are finished leaves
+    if open_nodes:
+        slot_of[np.searchsorted(flat.trees[done][0], open_nodes)] = np.arange(slots)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((slots, n_features, 256, 2))
         loss, weight = 0.0, 0.0
         for batch in batches:
-            n = batch.num_rows
-            column = batch.column("bins")
-            bins = np.frombuffer(column.buffers()[2], dtype=np.uint8)[column.offset * n_features:(column.offset + n) * n_features].reshape(n, n_features)
-            y, w = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "w"))
-            held = batch.column("is_eval").to_numpy(zero_copy_only=False)
-            margin = flat.margins(bins, done)
-            p = 1 / (1 + np.exp(-margin))
-            loss += float((w * np.logaddexp(0, np.where(y > 0, -margin, margin)))[held].sum())
-            weight += float(w[held].sum())
-            use = ~held & _sampled(batch.column("row_hash").to_numpy(zero_copy_only=False), done, subsample)
-            if not slots or not use.any():
-                continue
-            bins, g, h = bins[use], (w * (p - y))[use], (w * p * (1 - p))[use]
-            node = flat.nodes(done, bins)
-            slot = np.searchsorted(open_nodes, node)
-            slot[(slot == slots) | (np.array(open_nodes)[np.minimum(slot, slots - 1)] != node)] = slots  # in a finished leaf
-            for f in range(n_features):
-                at = slot * 256 + bins[:, f]
-                for k, value in enumerate((g, h)):
-                    total[:, f, :, k] += np.bincount(at, value, minlength=(slots + 1) * 256)[:slots * 256].reshape(slots, 256)
+            for i in range(batch.num_rows):
+                bins, y, w, row_hash = (np.frombuffer(batch.column(c)[i].as_buffer(), dtype=kind)
+                                        for c, kind in (("bins", np.uint8), ("y", float), ("w", float), ("row_hash", np.int64)))
+                bins = bins.reshape(n_features, len(y))
+                if batch.column("is_eval")[i].as_py():
+                    margin = flat.margins(bins, done)
+                    loss += float((w * np.logaddexp(0, np.where(y > 0, -margin, margin))).sum())
+                    weight += float(w.sum())
+                    continue
+                slot = flat.reach(done, bins, slot_of)
+                use = np.flatnonzero(_sampled(row_hash, done, subsample) & (slot < slots))
+                if not len(use):
+                    continue
+                bins, y, w, slot = bins.take(use, axis=1), y[use], w[use], slot[use] * 256
+                p = 1 / (1 + np.exp(-flat.margins(bins, done)))
+                g, h = w * (p - y), w * p * (1 - p)
+                for f in range(n_features):
+                    at = slot + bins[f]
+                    for k, value in enumerate((g, h)):
+                        total[:, f, :, k] += np.bincount(at, value, minlength=slots * 256).reshape(slots, 256)
         at = np.flatnonzero(total[..., 1].ravel())
         values = total.reshape(-1, 2)[at]
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(values[:, 0], loss)), pa.array(np.append(values[:, 1], weight))], names=["at", "g", "h"])
@@ -256,7 +311,7 @@ def fit_boosted_trees(df: DataFrame, features: list[str], label: str, weight: st
         *features, F.col(label).cast("double").alias("y"), (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w"),
         (F.coalesce(F.col(is_eval), F.lit(False)) if is_eval else F.lit(False)).alias("is_eval"),
         (row_hash if row_hash is not None else F.xxhash64(*features, label)).alias("row_hash"))
-    rows = stored(binned(rows, edges, ["y", "w", "is_eval", "row_hash"]), "boosting-rows")
+    rows = stored(binned(rows, edges), "boosting-rows")
     model, trees = BoostedTrees(list(features), []), []
     for k in range(o["max_iterations"] + 1):
         last = k == o["max_iterations"]

@@ -2,7 +2,9 @@
 
 import glob
 import os
+import random
 
+import numpy as np
 import pytest
 
 SF_SMALL = "/root/testdata/sf0.001"
@@ -37,3 +39,60 @@ def test_large_panel_has_partitions_by_its_rows_and_is_not_shuffled(spark, small
 def test_small_panel_keeps_few_files(small_layers):
     from retentia.operators import gold as G
     assert G.panel_partitions(small_layers.client_months) is None
+
+
+def test_training_rows_are_stored_in_blocks(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from retentia.operators import boosting as BT
+    monkeypatch.setattr(BT, "BLOCK_ROWS", 300)
+    df = spark.range(2000).repartition(2).select(
+        (F.col("id") % 7).cast("double").alias("a"), F.when(F.col("id") % 5 != 0, F.col("id").cast("double")).alias("b"),
+        F.col("id").cast("double").alias("y"), F.lit(1.0).alias("w"), (F.col("id") % 4 == 0).alias("is_eval"), F.col("id").alias("row_hash"))
+    blocks = BT.binned(df, {"a": [2.0, 5.0], "b": [100.0]}).collect()
+    assert len(blocks) <= 4 + 2000 // 300 and sum(b.n for b in blocks) == 2000
+    seen = {}
+    for b in blocks:
+        bins = np.frombuffer(b.bins, dtype=np.uint8).reshape(2, b.n)
+        for j, i in enumerate(np.frombuffer(b.row_hash, dtype=np.int64)):
+            assert b.is_eval == (i % 4 == 0) and np.frombuffer(b.y)[j] == i and np.frombuffer(b.w)[j] == 1
+            seen[int(i)] = tuple(bins[:, j])
+    assert seen == {i: ((i % 7 >= 2) + (i % 7 >= 5), 255 if i % 5 == 0 else int(i >= 100)) for i in range(2000)}
+
+
+@pytest.mark.parametrize("depth", [1, 3, 4, 6])
+def test_rows_reach_the_leaves_of_a_plain_walk(depth):
+    from retentia.operators import boosting as BT
+    rng = random.Random(depth)
+    edges = {f: [float(i) for i in range(1, 254)] for f in "abc"}
+
+    def grow(tree, at, left):
+        if left and (at == 0 or rng.random() < 0.9):
+            tree[at] = BT.Node(0, at, rng.choice("abc"), float(rng.randrange(1, 254)), rng.random() < 0.5, 2 * at + 1, 2 * at + 2)
+            grow(tree, 2 * at + 1, left - 1)
+            grow(tree, 2 * at + 2, left - 1)
+        else:
+            tree[at] = BT.Node(0, at, value=float(at))
+        return tree
+
+    trees = [grow({}, 0, depth) for _ in range(5)]
+    flat = BT._Flat(trees, ["a", "b", "c"], edges)
+    bins = np.array([[rng.choice([0, 252, 253, 255, rng.randrange(254)]) for _ in range(400)] for _ in range(3)], dtype=np.uint8)
+    want = np.zeros(400)
+    for tree in trees:
+        for j in range(400):
+            n = tree[0]
+            while n.feature is not None:
+                code = bins["abc".index(n.feature), j]
+                n = tree[n.left if (n.missing_left if code == 255 else code <= n.threshold - 1) else n.right]
+            want[j] += n.value
+    assert (flat.margins(bins, 5) == want).all()
+
+
+def test_segments_are_fitted_in_tasks_of_bounded_rows(spark, monkeypatch):
+    from retentia.operators import models as MD
+    monkeypatch.setattr(MD, "SEGMENT_ROWS_PER_TASK", 100)
+    rows = spark.range(0, 950, 1, 1).selectExpr("cast(id AS string) AS cliente_id", *[f"cast(id % {i + 2} AS double) AS {c}" for i, c in enumerate(MD.CLUSTER_FEATURES)])
+    out = MD.spread(rows)
+    sizes = [len(p) for p in out.rdd.glom().collect()]
+    assert len(sizes) == 10 and max(sizes) < 200 and sorted(out.collect()) == sorted(rows.collect())
+    assert MD.assign_segments(MD.fit_segments(rows), rows).count() == 950
