@@ -8,6 +8,7 @@ travels to executors by broadcast. Centroid distances are JVM-side higher-order
 from __future__ import annotations
 
 import datetime as _dt
+import math
 import os
 import uuid
 
@@ -30,6 +31,8 @@ from retentia.sources.bronze import replace_partitions
 CHURN_MODEL_PARAMS = dict(maxDepth=4, subsamplingRate=0.8, minInstancesPerNode=1, maxIter=20, stepSize=0.3,
                           validationTol=0.01, maxBins=32)
 SEGMENT_PARAMS = dict(k=5, maxIter=20, initMode="k-means||")
+#: Rows that a k-means task keeps and reads at every step.
+SEGMENT_ROWS_PER_TASK = 50_000
 
 
 # ------------------------------------------------------------------------------------------------- churn model
@@ -173,10 +176,16 @@ def fit_segments(df: DataFrame, features: list[str] = CLUSTER_FEATURES, seed: in
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
         KMeans(featuresCol="features", predictionCol="prediction", seed=seed, **{**SEGMENT_PARAMS, **params}),
     ]
-    cast = df.select(*[F.col(c).cast("double").alias(c) if c in features else F.col(c) for c in df.columns])
+    cast = spread(df).select(*[F.col(c).cast("double").alias(c) if c in features else F.col(c) for c in df.columns])
     return Pipeline(stages=stages).fit(cast)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in tasks of about ``SEGMENT_ROWS_PER_TASK`` rows, if it has more: one file, however large, may else be one task."""
+    parts = math.ceil(df.count() / SEGMENT_ROWS_PER_TASK)
+    return df.repartition(parts, *df.columns) if parts > 1 else df
+
+
 def nearest_centroids(vec: Column, centers: list[list[float]]) -> Column:
     """Array of (centroid_id, distance) sorted by distance, ids from 1; ``vec`` is an array<double> column.
 
