@@ -9,17 +9,16 @@ The background counts cover every document; the target counts cover the document
 good quality). A document's score is its loss per token under the target model minus that under the background model:
 the lower, the more it is like the target.
 
-Neither vocabulary nor bigrams are capped: the counts are Spark tables that grow with the corpus, written to the shared folder
-(words are told apart by 64-bit hashes). What is sent to the executors is bounded, and holds what is met most often:
+Neither vocabulary nor bigrams are capped: the counts are Spark tables that grow with the corpus (words are told apart by 64-bit
+hashes). What is sent to the executors is bounded, and holds what is met most often:
 
 1. count the words, as words and as contexts. The ``FREQUENT_WORDS`` most frequent ones get numbers and are sent out;
-2. count the bigrams, pre-aggregated by piece of text. A bigram of two numbered words is one 64-bit number; of those, only the
-   ones that occur twice or more are stored, for the counts of the others are known: one, in the document at hand;
-3. each text's loss is summed where it is stored: bigrams of numbered words take the ``FREQUENT_PAIRS`` most frequent counts from what was
-   sent out, and count as occurring once otherwise;
-4. what that leaves is joined by bigram: the difference that the stored count of a repeated bigram makes, and the whole loss of bigrams with
-   other words. A filter of ``FILTER_BITS`` bits keeps most bigrams that occur once out of that join; a full filter
-   lets more of them through, which changes no result.
+2. bigrams of two numbered words are shuffled once, with the texts that hold them: a row has the bigrams of a piece of text that fall into
+   one bucket, packed. A bucket has all occurrences of its bigrams, so it counts them and knows what the counts add to each text's loss.
+   Bigrams of two of the most frequent words of all (``FREQUENT_PAIRS`` such bigrams) are only counted there, added up per task before;
+3. bigrams with another word are stored by text, counted, joined with the counts of such words, and their losses with the texts;
+4. each text's loss is summed where it is stored: bigrams of the most frequent words take their counts from what was sent out, other
+   bigrams of numbered words count as occurring once. What 2 and 3 found is added.
 
 Texts are shuffled only to mark the target documents, and not even that if the target's ids are counted and few enough to broadcast.
 """
@@ -28,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -37,15 +37,16 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm.common import bounded_batches, broadcast_if_small, free_shuffles, frequent_from, store, table, text_pieces
+from retentia.llm.common import bounded_batches, broadcast_if_small, free_shuffles, frequent_from, salts_for, store, table, text_pieces
 
 MIN_COUNT = 2
 MU = 20.0
-#: Words and bigrams whose counts are sent to the executors (40 and 24 bytes each).
+#: Words and bigrams whose counts are sent to the executors (40 and 16 bytes each).
 FREQUENT_WORDS = 1 << 20
 FREQUENT_PAIRS = 1 << 20
-#: Bits of the filter of repeated bigrams (16 MB).
+#: Buckets are 2 ** FILTER_BITS at most, and have about ``BUCKET_TOKENS`` tokens of the corpus if there are more than shuffle partitions.
 FILTER_BITS = 27
+BUCKET_TOKENS = 4 << 20
 #: Bytes of text that a task cuts into words at a time.
 PIECE_BYTES = 4 << 20
 START, UNKNOWN = 0, 1  # in place of a word's hash
@@ -152,28 +153,6 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return counted.agg(*[F.sum(c).alias(c) for c in names[1:]])
 
 
-def bigram_counts(rows: DataFrame, numbered: Broadcast) -> DataFrame:
-    """(h, w, n, t): occurrences of every bigram of ``rows`` (text, target boolean) in all and in target documents.
-
-    Of two numbered words, h is both numbers in one and w is null; of others, h and w are hashes.
-    """
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = numbered.value[0]
-        for batch in _pieces(batches):
-            distinct, codes, starts = _coded(batch.column(0))
-            target = np.repeat(_flags(batch), np.diff(starts)).astype(np.int32)
-            pair, both, h, w = _numbered_pairs(distinct, codes, starts, words)
-            for columns, flags in (((pair[both],), target[both]), ((w[~both], h[~both]), target[~both])):
-                if len(flags):
-                    order, first, n = _distinct(*columns)
-                    own = [pa.array(c[order[first]], pa.int64()) for c in reversed(columns)]
-                    own = own if len(own) > 1 else [own[0], pa.nulls(len(first), pa.int64())]
-                    yield pa.RecordBatch.from_arrays([*own, pa.array(n, pa.int32()), pa.array(np.add.reduceat(flags[order], first), pa.int32())], names=["h", "w", "n", "t"])
-
-    counted = rows.mapInArrow(count, "h long, w long, n int, t int").groupBy("h", "w")
-    return counted.agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-
-
 def _numbered_pairs(distinct: np.ndarray, codes: np.ndarray, starts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Per word: its bigram as one number, whether both its words are numbered, and the hashes of context and word."""
     at, known = _found(distinct, words)
@@ -185,14 +164,16 @@ def _numbered_pairs(distinct: np.ndarray, codes: np.ndarray, starts: np.ndarray,
 
 @dataclass
 class Model:
-    """Counts of both models: stored tables, totals, and what is sent out of the frequent words.
+    """Counts of both models: stored words, totals, and what is sent out of the frequent words.
 
-    ``numbered``: hashes of the frequent words (ascending); mu * p(w) and log(c(h) + mu) by number, for target and background.
+    ``numbered``: hashes of the frequent words (ascending), which occur ``least`` times or more; mu * p(w) and log(c(h) + mu) by
+    number, for target and background. ``ranked``: the start and their numbers, the most frequent first.
     """
     words: DataFrame
-    bigrams: DataFrame
     total: Row
+    least: int
     numbered: Broadcast
+    ranked: np.ndarray
     mu: float
 
 
@@ -213,59 +194,177 @@ def build_model(rows: DataFrame, mu: float = MU, most: int = FREQUENT_WORDS) ->
     for own, context, size in ((t, ct, total.t), (n, cn, total.n)):
         arrays.append(np.append(1.0, mu * (own[order] + 1.0) / float(size + total.vocabulary + 2)))
         arrays.append(np.log(np.append(context[word == START].sum(), context[order]) + mu))
+    ranked = np.append(0, np.argsort(-n[order], kind="stable") + 1)
     del held, word, n, t, cn, ct
     pa.default_memory_pool().release_unused()  # the driver keeps what it sends, and no more
-    numbered = rows.sparkSession.sparkContext.broadcast(tuple(arrays))
-    bigrams = bigram_counts(rows, numbered).where(F.col("w").isNotNull() | (F.col("n") > 1))
-    return Model(words, store(bigrams, "lm-bigrams"), total, numbered, mu)
+    return Model(words, total, least, rows.sparkSession.sparkContext.broadcast(tuple(arrays)), ranked, mu)
 
 
-def rare_losses(model: Model) -> DataFrame:
-    """(pair, whole, x, y) of the bigrams that aren't of two numbered words: whole losses under the target and the background model."""
-    total, mu = model.total, model.mu
-    bigrams = model.bigrams.where("w IS NOT NULL")
-    known = model.words.where((F.col("n") >= MIN_COUNT) | (F.col("word") == START))
-    own = broadcast_if_small(store(known, "lm-vocabulary"))
-    ws = own.select(F.col("word").alias("w"), F.lit(True).alias("kw"), F.col("n").alias("wn"), F.col("t").alias("wt"))
-    hs = own.select(F.col("word").alias("h"), F.lit(True).alias("kh"), F.col("cn").alias("hn"), F.col("ct").alias("ht"))
-    rows = bigrams.join(ws, "w", "left").join(hs, "h", "left").select(
-        F.xxhash64("h", "w").alias("pair"), "n", "t", F.when(F.col("kh"), F.col("h")).otherwise(UNKNOWN).alias("h"), F.when(F.col("kw"), F.col("w")).otherwise(UNKNOWN).alias("w"),
-        F.coalesce("wn", F.lit(total.unn)).alias("wn"), F.coalesce("wt", F.lit(total.unt)).alias("wt"),
-        F.coalesce("hn", F.lit(total.uncn)).alias("hn"), F.coalesce("ht", F.lit(total.unct)).alias("ht"))
-    rows = store(rows, "lm-rare")
-    strange = (F.col("h") == UNKNOWN) | (F.col("w") == UNKNOWN)
-    # a bigram that has an unknown word is counted with all others of its kind
-    kinds = rows.where(strange).groupBy("h", "w").agg(F.sum("n").alias("kn"), F.sum("t").alias("kt"))
-    joined = rows.where(strange).join(broadcast_if_small(store(kinds, "lm-unknown")), ["h", "w"])
-    rows = rows.where(~strange).withColumn("kn", F.col("n")).withColumn("kt", F.col("t")).unionByName(joined)
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers, compressed: first all lowest bytes, last all highest ones."""
+    return pa.Codec("zstd").compress(np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T), asbytes=True)
 
-    def loss(pairs: str, word: str, context: str, size: int):
-        p = (F.col(word) + 1.0) / float(size + total.vocabulary + 2)
-        return -F.log((F.col(pairs) + mu * p) / (F.col(context) + mu))
 
-    return rows.select("pair", F.lit(True).alias("whole"), loss("kt", "wt", "ht", total.t).alias("x"), loss("kn", "wn", "hn", total.n).alias("y"))
+def _unpacked(data: bytes, size: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(pa.Codec("zstd").decompress(data, size * 8), np.uint8).reshape(8, size).T).view("<i8").ravel()
 
 
-def _filter_places(pairs: np.ndarray) -> np.ndarray:
+def _buckets(pairs: np.ndarray, buckets: int) -> np.ndarray:
     x = pairs.astype(np.uint64) * _MIX[0]
     x = (x ^ (x >> np.uint64(32))) * _MIX[1]
-    return (x >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+    return ((x >> np.uint64(64 - FILTER_BITS)) % np.uint64(buckets)).astype(np.int32)
 
 
-def pair_filter(repeated: DataFrame) -> np.ndarray:
-    """Bits (as 64-bit words) at the places of all ``repeated`` bigrams; of a fixed size."""
-    @F.arrow_udf("long")
-    def places(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for pairs in batches:
-            yield pa.array(_filter_places(pairs.to_numpy(zero_copy_only=False)))
+def _places(head: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Of each number (0 is the start) its place in ``head``, or -1."""
+    places = np.full(len(words) + 1, -1, np.int32)
+    places[head] = np.arange(len(head))
+    return places
 
-    at = repeated.select(places("h").alias("at"))
-    bits = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 AS int)))").alias("bits")).toArrow()  # 2^21 rows at most
-    out = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
-    out[bits.column("word").to_numpy()] = bits.column("bits").to_numpy()
-    del bits
-    pa.default_memory_pool().release_unused()
-    return out.view(np.uint64)
+
+def numbered_bigrams(keyed: DataFrame, model: Model, head: np.ndarray) -> DataFrame:
+    """(counted, key, x, y) of the bigrams of two numbered words in ``keyed`` (text, key: odd for target texts).
+
+    Bigrams of two words of ``head``: counted, the bigram's number as key, its target count and count in all. Others: a text's key, and what
+    their counts add to its losses under the target and the background model as if they occurred once, summed over equal texts.
+    """
+    numbered, size = model.numbered, len(head)
+    buckets = max(1, min(max(salts_for(keyed.sparkSession), model.total.n // BUCKET_TOKENS), 1 << FILTER_BITS))
+    names = ["bucket", "size", "pairs", "docs", "times", "keys"]
+
+    def dealt(pairs: np.ndarray, docs: np.ndarray, times: np.ndarray, keys: np.ndarray | None) -> pa.RecordBatch:
+        """A row for each bucket's part of the ascending ``pairs``; without ``keys``, docs are the target counts."""
+        bucket = _buckets(pairs, buckets)
+        order = np.argsort(bucket.astype(np.min_scalar_type(buckets)), kind="stable")
+        bucket, pairs, docs, times = bucket[order], pairs[order], docs[order], times[order]
+        edges = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+        rows = []
+        for lo, hi in zip(edges[:-1], edges[1:]):
+            own, held = docs[lo:hi], None
+            if keys is not None:
+                held, own = np.unique(own, return_inverse=True)
+                held = keys[held].tobytes()
+            rows.append((bucket[lo], hi - lo, _packed(np.diff(pairs[lo:hi], prepend=0)), _packed(own), _packed(times[lo:hi]), held))
+        columns = zip(*rows) if rows else [[]] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int32()] * 2 + [pa.binary()] * 4)], names=names)
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = numbered.value[0]
+        places, cells = _places(head, words), np.zeros((2, size * size), np.int64)
+        for batch in _pieces(batches):
+            distinct, codes, starts = _coded(batch.column(0))
+            keys, doc = np.unique(batch.column(1).to_numpy(zero_copy_only=False), return_inverse=True)
+            at, known = _found(distinct, words)
+            local = np.append(0, np.sort(at[known]) + 1)  # the piece's numbers, ascending
+            w = np.where(known, np.searchsorted(local, at + 1), -1)[codes]
+            h, row, place = _contexts(w, starts), np.repeat(doc, np.diff(starts)), places[local]
+            both = (w >= 0) & (h >= 0)
+            counted = both & (place[h] >= 0) & (place[w] >= 0)
+            cell = place[h[counted]].astype(np.int64) * size + place[w[counted]]
+            for c, chosen in zip(cells, (cell, cell[keys[row[counted]] & 1 == 1])):
+                c += np.bincount(chosen, minlength=size * size)
+            both &= ~counted
+            found, times = np.unique((h[both] * len(local) + w[both]) * len(keys) + row[both], return_counts=True)
+            pair, docs = np.divmod(found, len(keys))
+            h, w = np.divmod(pair, len(local))
+            yield dealt(local[h] << 32 | local[w], docs, times, keys)
+        met = np.flatnonzero(cells[0])
+        pairs = head[met // size] << 32 | head[met % size]
+        order = np.argsort(pairs)
+        yield dealt(pairs[order], cells[1][met[order]], cells[0][met[order]], None)
+
+    def added(rows: pa.Table) -> pa.Table:
+        _, target, _, background, _ = numbered.value
+        parts, held, heads, texts = [], [], [], 0
+        for r in range(rows.num_rows):
+            n, keys = rows["size"][r].as_py(), rows["keys"][r].as_py()
+            pairs, docs, times = (_unpacked(rows[c][r].as_py(), n) for c in ("pairs", "docs", "times"))
+            if keys is None:
+                heads.append((np.cumsum(pairs), docs.astype(float), times.astype(float)))
+            else:
+                held.append(np.frombuffer(keys, np.int64))
+                parts.append((np.cumsum(pairs), docs + texts, times))
+                texts += len(held[-1])
+        out = [(np.full(len(h[0]), True), *h) for h in heads]
+        if parts:
+            pair, doc, times = (np.concatenate(c) for c in zip(*parts))
+            key = np.concatenate(held)
+            once = (key & 1)[doc]
+            pair, at = np.unique(pair, return_inverse=True)
+            sums = []
+            for p, o, n in ((target, once, np.bincount(at, times * once)), (background, np.ones_like(once), np.bincount(at, times))):
+                p = p[pair & _WORD]
+                alone = np.stack([np.log(p), np.log(p + 1.0)])
+                sums.append(np.bincount(doc, (alone[o, at] - np.log(p + n)[at]) * times, minlength=texts))
+            some = (sums[0] != 0) | (sums[1] != 0)
+            out.append((np.full(some.sum(), False), key[some], sums[0][some], sums[1][some]))
+        return pa.table({c: np.concatenate([o[i] for o in out]) for i, c in enumerate(("counted", "key", "x", "y"))})
+
+    rows = keyed.select("text", "key").mapInArrow(blocks, "bucket int, size int, pairs binary, docs binary, times binary, keys binary")
+    rows = rows.groupBy("bucket").applyInArrow(added, "counted boolean, key long, x double, y double")
+    return rows.groupBy("counted", "key").agg(F.sum("x").alias("x"), F.sum("y").alias("y"))
+
+
+def other_bigrams(keyed: DataFrame, numbered: Broadcast) -> DataFrame:
+    """(key, h, w, kind, times): of each text of ``keyed`` (text, key) the bigrams with a word that isn't numbered, as hashes; kind: 1 if h is numbered, 2 if w is."""
+    def bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = numbered.value[0]
+        for batch in _pieces(batches):
+            distinct, codes, starts = _coded(batch.column(0))
+            w, known = distinct[codes], _found(distinct, words)[1].astype(np.int64)[codes]
+            h, before = _contexts(w, starts), np.append(1, known)[:len(known)]
+            before[starts[:-1][np.diff(starts) > 0]] = 1  # the start
+            kind = before + 2 * known
+            some = kind < 3
+            row = np.repeat(np.arange(batch.num_rows), np.diff(starts))
+            columns = w[some], h[some], row[some]
+            order, first, times = _distinct(*columns)
+            at = order[first]
+            w, h, row = (pa.array(c[at], pa.int64()) for c in columns)
+            yield pa.RecordBatch.from_arrays([batch.column(1).take(row), h, w, pa.array(kind[some][at], pa.int8()), pa.array(times, pa.int32())], names=["key", "h", "w", "kind", "times"])
+
+    return keyed.select("text", "key").mapInArrow(bigrams, "key long, h long, w long, kind tinyint, times int")
+
+
+def other_losses(model: Model, rows: DataFrame) -> DataFrame:
+    """(pair, x, y) of the bigrams in ``rows`` (as of ``other_bigrams``): their losses under the target and the background model."""
+    total, mu, numbered = model.total, model.mu, model.numbered
+    odd = F.col("key").bitwiseAND(F.lit(1))
+    bigrams = store(rows.groupBy("h", "w", "kind").agg(F.sum("times").alias("n"), F.sum(F.col("times") * odd).alias("t")), "lm-bigrams")
+    known = model.words.where((F.col("n") >= MIN_COUNT) & (F.col("n") < model.least) & (F.col("word") != START))
+    own = broadcast_if_small(store(known, "lm-vocabulary"))
+
+    def looked_up(rows: DataFrame, bit: int, word: str, n: str, t: str) -> DataFrame:
+        counts = own.select(F.col("word").alias(word), F.col(n).alias(word + "n"), F.col(t).alias(word + "t"))
+        there = F.col("kind").bitwiseAND(F.lit(bit)) != 0
+        asked = rows.where(~there).join(counts, word, "left")
+        return asked.withColumn(word + "u", F.col(word + "n").isNull()).unionByName(rows.where(there).withColumn(word + "u", F.lit(False)), allowMissingColumns=True)
+
+    found = store(looked_up(looked_up(bigrams, 2, "w", "n", "t"), 1, "h", "cn", "ct"), "lm-rare")
+    # a bigram that has an unknown word is counted with all others of its kind
+    kind = {k: F.when(F.col(c + "u"), UNKNOWN).otherwise(F.col(c)).alias(k) for k, c in (("kh", "h"), ("kw", "w"))}
+    strange = found.where("hu OR wu").select("*", *kind.values())
+    kinds = strange.groupBy("kh", "kw").agg(F.sum("n").alias("kn"), F.sum("t").alias("kt"))
+    joined = strange.join(broadcast_if_small(store(kinds, "lm-unknown")), ["kh", "kw"]).drop("kh", "kw")
+    found = found.where("NOT hu AND NOT wu").withColumn("kn", F.col("n")).withColumn("kt", F.col("t")).unionByName(joined)
+
+    @F.arrow_udf("struct<x: double, y: double>")
+    def losses(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        words, target, target_context, background, background_context = numbered.value
+        for batch in batches:
+            h, w, kind, kt, kn, wt, wn, ht, hn = (c.to_numpy(zero_copy_only=False) for c in batch)
+            before, own = kind & 1 > 0, kind & 2 > 0
+            h = np.where(before & (h != START), _found(h, words)[0] + 1, 0)
+            w = np.where(own, _found(w, words)[0] + 1, 0)
+            out = []
+            for p, c, pairs, word, context, size in ((target, target_context, kt, wt, ht, total.t), (background, background_context, kn, wn, hn, total.n)):
+                p = np.where(own, p[w], mu * (word + 1.0) / float(size + total.vocabulary + 2))
+                out.append(pa.array(np.where(before, c[h], np.log(context + mu)) - np.log(pairs + p)))
+            yield pa.StructArray.from_arrays(out, names=["x", "y"])
+
+    counts = [F.coalesce(c, F.lit(unknown)) for c, unknown in (("wt", total.unt), ("wn", total.unn), ("ht", total.unct), ("hn", total.uncn))]
+    found = found.select(F.xxhash64("h", "w").alias("pair"), losses("h", "w", F.col("kind").cast("int"), "kt", "kn", *counts).alias("l"))
+    return found.select("pair", "l.x", "l.y")
 
 
 def text_losses(texts: DataFrame, model: Model, most: int = FREQUENT_PAIRS) -> DataFrame:
@@ -273,62 +372,34 @@ def text_losses(texts: DataFrame, model: Model, most: int = FREQUENT_PAIRS) -> D
 
     The rows returned come from stored tables alone, so they need nothing that was sent out.
     """
-    context = texts.sparkSession.sparkContext
-    numbered, pairs = model.numbered, model.bigrams.where("w IS NULL")
-    least = frequent_from(pairs, most)
-    held = pairs.where(F.col("n") >= least).select("h", "n", "t").toArrow()  # ``most`` rows
-    pair, n, t = (held.column(c).to_numpy() for c in ("h", "n", "t"))
-    order = np.argsort(pair, kind="stable")
-    frequent = context.broadcast((pair[order], t[order], n[order]))
-    del held, pair, n, t, order
-    repeated = pairs.where(F.col("n") < least)
-    bits = context.broadcast(pair_filter(repeated))
+    numbered, head = model.numbered, model.ranked[:isqrt(most)]
+    size = len(head)
     names = ["loss_target", "loss_background"]
     keyed = texts.withColumn("key", F.xxhash64("text").bitwiseAND(F.lit(-2)).bitwiseOR(F.col("target").cast("long")))
+    found = store(numbered_bigrams(keyed, model, head), "lm-numbered")
+    held = found.where("counted").toArrow()  # ``most`` rows
+    pair, at = held.column("key").to_numpy(), np.zeros(len(model.ranked), np.int64)
+    at[head] = np.arange(size)
+    cell, counts = at[pair >> 32] * size + at[pair & _WORD], np.zeros((2, size * size))
+    for c, name in zip(counts, "xy"):
+        c[cell] = held.column(name).to_numpy()
+    frequent = texts.sparkSession.sparkContext.broadcast((head, *counts))
+    del held, pair, at, cell, counts
+    pa.default_memory_pool().release_unused()
 
-    def left_over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, maybe = numbered.value[0], bits.value
-        for batch in _pieces(batches):
-            distinct, codes, starts = _coded(batch.column(0))
-            row = np.repeat(np.arange(batch.num_rows), np.diff(starts))
-            pair, both, h, w = _numbered_pairs(distinct, codes, starts, words)
-            place = _filter_places(pair)
-            asked = both & ((maybe[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
-            asked[asked] = ~_found(pair[asked], frequent.value[0])[1]
-            for columns in ((pair[asked], row[asked]), (w[~both], h[~both], row[~both])):
-                order, first, times = _distinct(*columns)
-                at = order[first]
-                own = [pa.array(c[at], pa.int64()) for c in reversed(columns)]
-                own = own if len(own) > 2 else [*own, pa.nulls(len(at), pa.int64())]
-                yield pa.RecordBatch.from_arrays([batch.column(1).take(own[0]), *own[1:], pa.array(times, pa.int32())], names=["key", "h", "w", "times"])
-
-    rows = keyed.select("text", "key").mapInArrow(left_over, "key long, h long, w long, times int")
-    rows = rows.select("key", F.when(F.col("w").isNull(), F.col("h")).otherwise(F.xxhash64("h", "w")).alias("pair"), "times")
-    # repeated bigrams go into the join by their counts, which are narrower than what they add to the losses
-    counts = repeated.select(F.col("h").alias("pair"), F.lit(False).alias("whole"), F.col("t").cast("double").alias("x"), F.col("n").cast("double").alias("y"))
-    counts = store(rare_losses(model), "lm-losses").union(counts)
-
-    @F.arrow_udf("struct<target: double, background: double>")
-    def losses(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        """Whole losses as they are; of repeated bigrams what their counts add to the losses as if they occurred once."""
-        _, target, _, background, _ = numbered.value
-        for batch in batches:
-            key, pair, whole, x, y, times = (c.to_numpy(zero_copy_only=False) for c in batch)
-            w = np.where(whole, 0, pair) & _WORD
-            once, x, y = key & 1, np.where(whole, 0, x), np.where(whole, 0, y)
-            out = [np.where(whole, l, np.log((p[w] + o) / (p[w] + c))) * times for p, o, c, l in (
-                (target, once, x, batch[3].to_numpy()), (background, 1, y, batch[4].to_numpy()))]
-            yield pa.StructArray.from_arrays([pa.array(c) for c in out], names=["target", "background"])
-
-    more = rows.join(counts, "pair").select("key", losses("key", "pair", "whole", "x", "y", "times").alias("l"))
-    more = more.groupBy("key").agg(F.sum("l.target").alias("more_target"), F.sum("l.background").alias("more_background"))
+    others = store(other_bigrams(keyed, numbered), "lm-others")
+    losses = store(other_losses(model, others), "lm-losses")
+    others = others.select("key", F.xxhash64("h", "w").alias("pair"), "times").join(losses, "pair").select("key", *[(F.col(c) * F.col("times")).alias(c) for c in "xy"])
+    more = found.where("NOT counted").select("key", "x", "y").union(others)
+    more = more.groupBy("key").agg(F.sum("x").alias("more_target"), F.sum("y").alias("more_background"))
     copies = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))  # equal texts have their rows joined once each
     more = more.join(copies, "key").select("key", *[(F.col(c) / F.col("copies")).alias(c) for c in ("more_target", "more_background")])
 
     @F.arrow_udf("struct<n_tokens: long, loss_target: double, loss_background: double>")
     def sums(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         words, target, target_context, background, background_context = numbered.value
-        pairs, in_target, in_all = frequent.value
+        head, in_target, in_all = frequent.value
+        places = _places(head, words)
         for batch in batches:
             out = [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0))]
             for piece in text_pieces(pa.RecordBatch.from_arrays(list(batch), names=["text", "target"]), 0, PIECE_BYTES):
@@ -336,19 +407,20 @@ def text_losses(texts: DataFrame, model: Model, most: int = FREQUENT_PAIRS) -> D
                 per = np.diff(starts)
                 flags = np.repeat(_flags(piece), per)
                 pair, both, _, _ = _numbered_pairs(distinct, codes, starts, words)
-                own, pair = pair[both] & _WORD, pair[both]
-                at, known = _found(pair, pairs)
+                own, before = pair[both] & _WORD, pair[both] >> 32
+                at, known = places[before].astype(np.int64) * size + places[own], (places[before] >= 0) & (places[own] >= 0)
                 both_losses = []
-                for p, c, f, once in ((target, target_context, in_target, flags[both]), (background, background_context, in_all, 1)):
+                for p, c, f, once in ((target, target_context, in_target, flags[both]), (background, background_context, in_all, np.ones(len(own)))):
+                    counted = once.astype(float)
+                    counted[known] = f[at[known]]
                     loss = np.zeros(len(codes))
-                    loss[both] = c[pair >> 32] - np.log(p[own] + (np.where(known, f[at], once) if len(pairs) else once))
+                    loss[both] = c[before] - np.log(p[own] + counted)
                     both_losses.append(np.diff(np.append(0.0, np.cumsum(loss))[starts]))
                 out.append((per, *both_losses))
             yield pa.StructArray.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["n_tokens", *names])
 
     more, rows = store(more, "lm-texts"), store(keyed.select("doc_id", "key", sums("text", "target").alias("l")), "lm-sums")
-    for sent in (bits, frequent):  # all that needs them is stored
-        sent.destroy()
+    frequent.destroy()  # all that needs it is stored
     rows = rows.join(broadcast_if_small(more), "key", "left")
     total = [F.col(f"l.{c}") + F.coalesce("more" + c[4:], F.lit(0.0)) for c in names]
     return rows.select("doc_id", "l.n_tokens", *[F.when(F.col("l.n_tokens") > 0, x / F.col("l.n_tokens")).otherwise(F.lit(0.0)).alias(c) for x, c in zip(total, names)])

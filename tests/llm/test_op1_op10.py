@@ -145,6 +145,48 @@ def test_lm_losses_don_t_depend_on_what_is_sent_out(spark, monkeypatch, words, b
     assert got == whole and sum(got.values()) == len(rows)
 
 
+@pytest.mark.parametrize("tokens,bits", [(4 << 20, 27), (64, 27), (64, 0)])
+def test_lm_numbered_bigrams_stay_with_their_texts(spark, monkeypatch, tokens, bits):
+    """Bigrams of numbered words are counted where their texts' shares meet, in one bucket or many; what is stored of them grows with the texts alone."""
+    rng = random.Random(9)
+    rows = [(d, sentence(rng, 300, 12)) for d in range(60)] + [(100, "a1 " * 50), (101, "a1 " * 50), (102, "a1 " * 50), (103, None), (104, "b2")]
+    target, most = {0, 1, 2, 100, 103}, 9
+    monkeypatch.setattr(L, "BUCKET_TOKENS", tokens)
+    monkeypatch.setattr(L, "FILTER_BITS", bits)
+    stored, default, store = {}, L.text_losses, L.store
+
+    def watched(df, name):
+        stored[name] = store(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(L, "store", watched)
+    monkeypatch.setattr(L, "text_losses", lambda texts, model: default(texts, model, most))
+    got = L.score_documents(documents(spark, rows), spark.createDataFrame([(t,) for t in target], "doc_id long")).collect()
+    sizes = {name: df.count() for name, df in stored.items()}
+    assert sum(n for name, n in sizes.items() if name not in ("lm-words", "lm-target")) <= 3 * len(rows) + most
+    texts = [(d, (t or "").split()) for d, t in rows]
+    chosen = [Counter(p for d, ws in texts if d in own for p in zip([None, *ws], ws)) for own in ({d for d, _ in texts}, target)]
+    assert len(chosen[0]) > 10 * len(rows)
+    counted = {(r.x, r.y) for r in stored["lm-numbered"].where("counted").collect()}
+    assert 0 < len(counted) <= most and counted <= {(chosen[1][p], n) for p, n in chosen[0].items()}
+    vocabulary = Counter(w for _, ws in texts for w in ws)
+    assert min(vocabulary.values()) >= L.MIN_COUNT
+    for r, (d, ws) in zip(sorted(got, key=lambda r: r.doc_id), texts):
+        for loss, pairs in ((r.loss_background, chosen[0]), (r.loss_target, chosen[1])):
+            uni, context = Counter(), Counter()
+            for (h, w), n in pairs.items():
+                uni[w] += n
+                context[h] += n
+            size = sum(uni.values()) + len(vocabulary) + 2
+            want = [-math.log((pairs[h, w] + L.MU * (uni[w] + 1) / size) / (context[h] + L.MU)) for h, w in zip([None, *ws], ws)]
+            assert r.doc_id == d and loss == pytest.approx(sum(want) / len(ws) if ws else 0.0, abs=1e-8)
+
+
+def test_lm_packed_numbers():
+    for values in ([0], [5, -3, 2 ** 62, -2 ** 62], list(range(1000)), [0] * 70_000):
+        assert L._unpacked(L._packed(np.array(values)), len(values)).tolist() == values
+
+
 def test_lm_words_of_sliced_arrays():
     a = pa.array(["zero one", None, "Two  THREE", "", "four"])
     words, starts = L.split_words(a.slice(1, 3))
