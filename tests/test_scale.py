@@ -3,10 +3,13 @@
 import glob
 import os
 import random
+import time
 
 import numpy as np
 import pytest
 
+from retentia.functions.numeric import round_doubles
+
 SF_SMALL = "/root/testdata/sf0.001"
 
 
@@ -36,6 +39,44 @@ def test_large_panel_has_partitions_by_its_rows_and_is_not_shuffled(spark, small
     assert panel.rdd.getNumPartitions() == parts
 
 
+def shuffle_blocks(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {n for n in (blocks.apply(i).name() for i in range(blocks.size())) if n.startswith("shuffle_")}
+
+
+def test_layers_leave_no_shuffle_files(spark, large_panel):
+    from retentia.plans import layers
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, kept = shuffle_blocks(spark), spark.conf.get(setting)
+    new = layers.Layers.from_testdata(spark, SF_SMALL)
+    new.key += "-freed"
+    assert len(new.gold.select("mes_del_anio").collect()) > 4500 and spark.conf.get(setting) == kept
+    until = time.time() + 20  # Spark deletes them in the background
+    while (left := shuffle_blocks(spark) - before) and time.time() < until:
+        time.sleep(0.5)
+    assert not left
+
+
+def test_month_of_a_large_panel_is_replaced_without_a_shuffle_of_the_panel(spark, small_layers, large_panel, tmp_path, monkeypatch):
+    from retentia.plans import layers, registry
+    large = layers.Layers.from_testdata(spark, SF_SMALL)
+    large.key += "-replaced"
+    monkeypatch.setattr(layers.Layers, "from_testdata", lambda spark, sf_dir: large)
+    monkeypatch.setattr(registry, "_scratch", lambda spark, name: str(tmp_path / name))
+    first = []  # the table as it stands before the month is replaced
+    replace = registry._BR.replace_partitions
+    monkeypatch.setattr(registry._BR, "replace_partitions", lambda df, path, by: (first.extend(spark.read.parquet(path).collect()), replace(df, path, by)))
+    files = lambda month: glob.glob(str(tmp_path / "gold" / month / "*.parquet"))
+    got = registry.QUERIES["replace_month"](spark, SF_SMALL)
+    months = sorted(m for m in os.listdir(tmp_path / "gold") if m.startswith("fecha_referencia="))
+    # tasks write the files they have read; a shuffle by month leaves one file a month
+    assert max(len(files(m)) for m in months[:-1]) > 1 and len(files(months[-1])) == 1
+    last = max(r.fecha_referencia for r in first)
+    assert all((r.engagement_score == -1) == (r.fecha_referencia == last) for r in first) and len(first) == got.count()
+    want = round_doubles(small_layers.gold, 6)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
 def test_small_panel_keeps_few_files(small_layers):
     from retentia.operators import gold as G
     assert G.panel_partitions(small_layers.client_months) is None
